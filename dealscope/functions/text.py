@@ -42,13 +42,18 @@ def parse_long(cell: Column) -> Column:
 
 
 def parse_timestamp(cell: Column) -> Column:
-    """ISO timestamps and dates, and ``dd.MM.yyyy`` with or without a time."""
+    """ISO timestamps and dates, ``dd.MM.yyyy`` with or without a time, and
+    spreadsheet serial numbers (days since 1899-12-30)."""
     text = clean(cell)
+    serial = F.when(text.rlike(r"^\d{5}(\.\d+)?$"), text.try_cast("double"))
+    midnight = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(serial).cast("int")).cast("timestamp")
+    seconds = F.round((serial - F.floor(serial)) * 86400).cast("decimal(18,6)")
     return F.coalesce(
-        text.try_cast("timestamp"),
+        F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp")),
         F.try_to_timestamp(text, F.lit("dd.MM.yyyy HH:mm:ss")),
         F.try_to_timestamp(text, F.lit("dd.MM.yyyy HH:mm")),
         F.try_to_timestamp(text, F.lit("dd.MM.yyyy")),
+        midnight + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds),
     )
 
 

@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 VOLUME = "decimal(38,2)"
 
 
-def deal_facts(deals: DataFrame, won: str) -> DataFrame:
+def deal_facts(deals: DataFrame, won: str, *extra: str) -> DataFrame:
     """``agent_id, deal_date, deals, won_deals, volume``; volume is that of won deals."""
     is_won = F.col("status") == won
     return deals.select(
+        *extra,
         "agent_id",
         "deal_date",
         F.lit(1).cast("bigint").alias("deals"),
@@ -55,7 +56,7 @@ def _by_stage(code: Column, stages: Sequence[str], values: Iterable[int]) -> Col
 
 def stage_marks(events: DataFrame, stages: Sequence[str]) -> DataFrame:
     """``agent_id, day, mask``: bit ``n-1`` of the mask stands for stage ``n``."""
-    kept = events.where(F.col("stage_code").isin(list(stages)))
+    kept = events.where(F.col("stage_code").isin(list(stages)) & F.col("ts").isNotNull())
     return kept.select(
         "agent_id",
         F.col("ts").cast("date").alias("day"),

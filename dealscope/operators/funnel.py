@@ -102,7 +102,7 @@ def stage_paths(events: DataFrame, stages: Sequence[str], *extra: str) -> DataFr
 
     second = F.date_trunc("second", F.col("ts")).alias("second")
     return (
-        events.where(F.col("stage_code").isin(list(stages)))
+        events.where(F.col("stage_code").isin(list(stages)) & F.col("ts").isNotNull())
         .groupBy(*extra, "agent_id", second)
         .agg(F.sort_array(F.collect_set(moment)).alias("moments"))
         .select(*extra, "agent_id", "second", F.aggregate("moments", start, climb).alias("after"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealscope.session import cut
+
 # Bits per level. A window group holds one row per distinct key of a slice, so
 # at most 2**20 rows; three levels cover keys of 60 bits.
 SLICE_BITS = 20
@@ -21,10 +23,11 @@ def ranked(rows: DataFrame, key: Column, within: Sequence[str] = (), out: str =
     key, found level by level: inside its slice of the key range, then over the
     slices of its block, then over the blocks. Tied rows are counted together
     before the first window, so neither ties nor crowded slices make a group
-    large.
+    large. The rows are computed once and cut from their lineage, since both the
+    counting and the result read them.
     """
     within = list(within)
-    rows = rows.withColumn("_key", key)
+    rows = cut(rows.withColumn("_key", key))
     keys = rows.groupBy(*within, "_key").agg(F.count("*").alias("_n"))
     keys = keys.withColumn("_slice", F.shiftright("_key", SLICE_BITS))
     slices = keys.groupBy(*within, "_slice").agg(F.sum("_n").alias("_n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from dealscope import schemas
 from dealscope.operators import churn, cohort, facts, funnel, rating, rf, staging
 from dealscope.plans import views
 from dealscope.plans.views import RULES, STAGES
+from dealscope.session import shared_dir
+from dealscope.sources import warehouse
+from dealscope.streaming import daily, feeds, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +89,45 @@ def agent_stage_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("mask", F.col("mask").cast("bigint"))
 
 
+def raw_incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deals after three incremental loads into raw: stale versions, the current
+    ones, and the current ones delivered again."""
+    stored = views.table(spark, sf_dir, "orders").schema
+    root = shared_dir(spark, "raw-latest")
+    stale = {"status": F.lit("O"), "amount": F.lit(0).cast("decimal(18,2)"),
+             "updated_at": F.date_sub("updated_at", 1).cast("timestamp_ntz")}
+    for load, changes in enumerate((stale, {}, {})):
+        feed = feeds.read_feed(spark, sf_dir, stored, "orders.parquet")
+        rows = views.deal_versions(feed).withColumns(changes) if changes else views.deal_versions(feed)
+        feeds.append_raw(rows, "crm", f"{root}/raw/load={load}", f"{root}/checkpoint/{load}",
+                         feeds.AVAILABLE_NOW)
+    raw = reduce(DataFrame.unionByName, [
+        spark.read.parquet(f"{root}/raw/load={load}").withColumn("_batch_id", F.lit(load).cast("bigint"))
+        for load in range(3)
+    ])
+    return _plain_times(views.staged(raw, schemas.DEAL, **RULES["deal"]))
+
+
+def funnel_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily stage counts of the event stream when every event is delivered twice."""
+    stored = views.table(spark, sf_dir, "events").schema
+    root = shared_dir(spark, "funnel-daily")
+    once = views.events_of(feeds.read_feed(spark, sf_dir, stored, "events.parquet"))
+    counts = daily.daily_counts(once.unionByName(once), STAGES, "2 days")
+    daily.run_daily(counts, root, f"{root}/checkpoint", feeds.AVAILABLE_NOW)
+    return warehouse.read_mart(spark, root, "funnel_daily")
+
+
+def _refreshed(mart: str) -> Query:
+    """A mart read back from the warehouse after a whole streamed refresh."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_dir(spark, "refresh")
+        streams = views.feeds(spark, sf_dir)
+        refresh.refresh(spark, streams, root, f"{root}/checkpoint", views.SETTINGS, feeds.AVAILABLE_NOW)
+        return warehouse.read_mart(spark, root, mart)
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "funnel_reached": _funnel(funnel.funnel_reached),
     "funnel_snapshot": _funnel(funnel.funnel_snapshot),
@@ -117,4 +160,8 @@ QUERIES: dict[str, Query] = {
     "staging_event": staging_event,
     "staging_market": _staging(schemas.MARKET, views.raw_market),
     "staging_rejects": staging_rejects,
+    "raw_incremental_latest": raw_incremental_latest,
+    "funnel_daily_stream": funnel_daily_stream,
+    "refreshed_rating_agency": _refreshed("rating_agency"),
+    "refreshed_funnel_ordered": _refreshed("funnel_ordered"),
 }

@@ -254,6 +254,11 @@ QUALIFY row_number() OVER (
 _STAGING_REJECTS = """
 SELECT o_orderkey AS deal_id, 'status' AS "column", o_orderstatus AS cell FROM orders WHERE o_orderstatus = 'P'"""
 
+_FUNNEL_DAILY = f"""
+WITH {_EVENTS}
+SELECT CAST(ts AS DATE) AS day, CAST(stage_no AS BIGINT) AS stage_no, CAST(count(*) AS BIGINT) AS events
+FROM mark GROUP BY 1, 2"""
+
 ORACLE: dict[str, str] = {
     "funnel_reached": _reached(),
     "funnel_snapshot": _snapshot(),
@@ -286,4 +291,8 @@ ORACLE: dict[str, str] = {
     "staging_event": _STAGING_EVENT,
     "staging_market": _STAGING_MARKET,
     "staging_rejects": _STAGING_REJECTS,
+    "raw_incremental_latest": _STAGING_DEAL,
+    "funnel_daily_stream": _FUNNEL_DAILY,
+    "refreshed_rating_agency": _rating("agency_id"),
+    "refreshed_funnel_ordered": _ordered(),
 }

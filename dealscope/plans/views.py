@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope.operators import facts, staging
+from dealscope.plans.layers import Settings
 from dealscope.schemas import AGENT, COMPANY, DEAL, EVENT, MANAGER, MARKET
+from dealscope.streaming.feeds import read_feed
 
 # Event types standing for the five stages, and order statuses.
 STAGES = ("signup", "view", "click", "purchase", "error")
@@ -45,16 +47,20 @@ def _agency_id(nation: str, segment: str):
     return F.concat_ws("|", F.col(nation).cast("string"), F.col(segment))
 
 
-def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
+def agents_of(stored: DataFrame) -> DataFrame:
+    return stored.select(
         F.col("c_custkey").alias("agent_id"),
         F.col("c_name").alias("agent_name"),
         _agency_id("c_nationkey", "c_mktsegment").alias("agency_id"),
     )
 
 
-def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agents_of(table(spark, sf_dir, "customer"))
+
+
+def events_of(stored: DataFrame) -> DataFrame:
+    return stored.select(
         "event_id",
         F.col("user_id").alias("agent_id"),
         "ts",
@@ -63,6 +69,10 @@ def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_of(table(spark, sf_dir, "events"))
+
+
 def stage_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.stage_marks(stage_events(spark, sf_dir), STAGES)
 
@@ -90,8 +100,8 @@ def raw_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.to_raw(rows, "crm", 0)
 
 
-def raw_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select(
+def deal_versions(stored: DataFrame) -> DataFrame:
+    return stored.select(
         F.col("o_orderkey").alias("deal_id"),
         F.col("o_custkey").alias("agent_id"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
@@ -99,7 +109,10 @@ def raw_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("deal_ts"),
         F.col("o_orderdate").alias("updated_at"),
     )
-    return staging.to_raw(rows, "crm", 0)
+
+
+def raw_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.to_raw(deal_versions(table(spark, sf_dir, "orders")), "crm", 0)
 
 
 def raw_event(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +133,18 @@ def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.to_raw(rows, "market", 0)
 
 
+def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The test tables of deals, agents and events as streams of extracts."""
+    def stream(name: str) -> DataFrame:
+        return read_feed(spark, sf_dir, table(spark, sf_dir, name).schema, f"{name}.parquet")
+
+    return {
+        "deal": deal_versions(stream("orders")),
+        "agent": agents_of(stream("customer")).withColumn("phone", F.lit(None).cast("string")),
+        "event": events_of(stream("events")),
+    }
+
+
 def staged(raw: DataFrame, entity, **rules) -> DataFrame:
     return staging.settle(staging.type_raw(raw, entity, **rules), entity).select(*entity.schema.fieldNames())
 
@@ -133,3 +158,5 @@ RULES: dict[str, dict] = {
     EVENT.name: {},
     MARKET.name: {"names": ["object_type"]},
 }
+
+SETTINGS = Settings(stages=STAGES, won="won", codes={"deal": {"status": STATUS_CODES}})

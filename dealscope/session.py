@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -39,9 +40,22 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     Only a local master may do without that setting: there the machine's own
     temporary folder is shared by definition.
     """
+    return f"{_base_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def cut(rows: DataFrame) -> DataFrame:
+    """Compute rows that several branches of a plan read once, and keep them in
+    the shared folder, where they outlive the executors."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(_base_dir(rows.sparkSession))
+    return rows.checkpoint()
+
+
+def _base_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="dealscope-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if base:
+        return base
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="dealscope-")
