@@ -32,27 +32,22 @@ def digits(cell: Column) -> Column:
 
 
 def parse_decimal(cell: Column, precision: int = 18, scale: int = 2) -> Column:
-    """``'1 234,50'`` or ``'1234.5'`` to a decimal."""
-    plain = F.replace(F.regexp_replace(cell, BLANK, ""), F.lit(","), F.lit("."))
+    """``'1 234,50'`` or ``'1234.5'`` to a decimal, from a cleaned cell."""
+    plain = F.translate(cell, ", ", ".")
     return plain.try_cast(f"decimal({precision},{scale})")
 
 
-def parse_long(cell: Column) -> Column:
-    return clean(cell).try_cast("bigint")
-
-
 def parse_timestamp(cell: Column) -> Column:
     """ISO timestamps and dates, ``dd.MM.yyyy`` with or without a time, and
-    spreadsheet serial numbers (days since 1899-12-30)."""
-    text = clean(cell)
-    serial = F.when(text.rlike(r"^\d{5}(\.\d+)?$"), text.try_cast("double"))
+    spreadsheet serial numbers (days since 1899-12-30), from a cleaned cell."""
+    serial = F.when(cell.rlike(r"^\d{5}(\.\d+)?$"), cell.try_cast("double"))
     midnight = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(serial).cast("int")).cast("timestamp")
     seconds = F.round((serial - F.floor(serial)) * 86400).cast("decimal(18,6)")
     return F.coalesce(
-        F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp")),
-        F.try_to_timestamp(text, F.lit("dd.MM.yyyy HH:mm:ss")),
-        F.try_to_timestamp(text, F.lit("dd.MM.yyyy HH:mm")),
-        F.try_to_timestamp(text, F.lit("dd.MM.yyyy")),
+        F.when(cell.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), cell.try_cast("timestamp")),
+        F.try_to_timestamp(cell, F.lit("dd.MM.yyyy HH:mm:ss")),
+        F.try_to_timestamp(cell, F.lit("dd.MM.yyyy HH:mm")),
+        F.try_to_timestamp(cell, F.lit("dd.MM.yyyy")),
         midnight + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds),
     )
 
@@ -67,9 +62,5 @@ def to_code(cell: Column, codes: dict[str, str]) -> Column:
     ``codes`` is configuration (a handful of words), so it is compiled into the
     expression instead of being joined.
     """
-    word = fold_name(cell)
-    chosen = F.lit(None).cast("string")
-    for code in sorted(set(codes.values())):
-        words = sorted(w.lower() for w, c in codes.items() if c == code)
-        chosen = F.when(word.isin(words), F.lit(code)).otherwise(chosen)
-    return chosen
+    known = F.create_map(*[F.lit(part) for word, code in codes.items() for part in (word.lower(), code)])
+    return F.try_element_at(known, fold_name(cell))

@@ -44,26 +44,36 @@ def normalise(rows: DataFrame, names: Sequence[str] = (), phones: Sequence[str]
 
 def cast_types(rows: DataFrame, schema: T.StructType, keys: Sequence[str] = (),
                codes: dict[str, dict[str, str]] | None = None) -> DataFrame:
-    """Typed columns of ``schema`` plus ``_rejects``, the cells that were refused.
+    """Typed columns of ``schema`` plus ``_rejects``, the cells that were refused, or NULL.
 
     A cell that does not cast, and a word ``codes`` does not know, becomes NULL
     and one entry in ``_rejects``; so does a missing key. The row stays and the
     job goes on. Other columns pass through.
+
+    The text is cleaned, parsed and compared in three projections, so that each
+    cell goes through a regular expression and a parser once.
     """
-    typed, bad = {}, []
-    for field in schema.fields:
-        cell = F.col(field.name)
-        words = (codes or {}).get(field.name)
-        value = text.to_code(cell, words) if words else _parse(cell, field.dataType)
-        typed[field.name] = value
-        refused = value.isNull()
-        if field.name not in keys:
-            refused = refused & text.clean(cell).isNotNull()
-        bad.append(F.when(refused, F.struct(F.lit(field.name).alias("column"), cell.alias("cell"))))
-    return rows.withColumns({**typed, "_rejects": F.array_compact(F.array(*bad))})
+    codes = codes or {}
+    names = schema.fieldNames()
+    rows = rows.withColumns({f"_text_{c}": text.clean(F.col(c)) for c in names})
+    rows = rows.withColumns({
+        field.name: text.to_code(F.col(f"_text_{field.name}"), codes[field.name]) if field.name in codes
+        else _parse(F.col(f"_text_{field.name}"), field.dataType)
+        for field in schema.fields
+    })
+    refused, entries = F.lit(False), []
+    for name in names:
+        bad = F.col(name).isNull()
+        if name not in keys:
+            bad = bad & F.col(f"_text_{name}").isNotNull()
+        refused = refused | bad
+        entries.append(F.when(bad, F.struct(F.lit(name).alias("column"), F.col(f"_text_{name}").alias("cell"))))
+    rejects = F.when(refused, F.array_compact(F.array(*entries)))
+    return rows.withColumn("_rejects", rejects).drop(*[f"_text_{c}" for c in names])
 
 
 def _parse(cell: Column, wanted: T.DataType) -> Column:
+    """A cleaned cell as the wanted type."""
     if isinstance(wanted, T.DecimalType):
         return text.parse_decimal(cell, wanted.precision, wanted.scale)
     if isinstance(wanted, T.TimestampType):
@@ -71,8 +81,8 @@ def _parse(cell: Column, wanted: T.DataType) -> Column:
     if isinstance(wanted, T.DateType):
         return text.parse_date(cell)
     if isinstance(wanted, T.StringType):
-        return text.clean(cell)
-    return text.clean(cell).try_cast(wanted)
+        return cell
+    return cell.try_cast(wanted)
 
 
 def type_raw(raw: DataFrame, entity: Entity, names: Sequence[str] = (), phones: Sequence[str] = (),
@@ -97,4 +107,4 @@ def settle(typed: DataFrame, entity: Entity) -> DataFrame:
 
 def rejects(typed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per refused cell: the key, ``column, cell``."""
-    return typed.where(F.size("_rejects") > 0).select(*keys, F.inline("_rejects"))
+    return typed.where(F.col("_rejects").isNotNull()).select(*keys, F.inline("_rejects"))

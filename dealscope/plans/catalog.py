@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,13 +118,19 @@ def funnel_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read_mart(spark, root, "funnel_daily")
 
 
+@cache
+def _refreshed_root(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse filled by a streamed refresh of the whole tables, once per session."""
+    root = shared_dir(spark, "refresh")
+    streams = views.feeds(spark, sf_dir)
+    refresh.refresh(spark, streams, root, f"{root}/checkpoint", views.SETTINGS, feeds.AVAILABLE_NOW)
+    return root
+
+
 def _refreshed(mart: str) -> Query:
-    """A mart read back from the warehouse after a whole streamed refresh."""
+    """A mart read back from the warehouse after the refresh."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = shared_dir(spark, "refresh")
-        streams = views.feeds(spark, sf_dir)
-        refresh.refresh(spark, streams, root, f"{root}/checkpoint", views.SETTINGS, feeds.AVAILABLE_NOW)
-        return warehouse.read_mart(spark, root, mart)
+        return warehouse.read_mart(spark, _refreshed_root(spark, sf_dir), mart)
     return run
 
 
@@ -162,6 +168,13 @@ QUERIES: dict[str, Query] = {
     "staging_rejects": staging_rejects,
     "raw_incremental_latest": raw_incremental_latest,
     "funnel_daily_stream": funnel_daily_stream,
+    "refreshed_funnel_snapshot": _refreshed("funnel_snapshot"),
+    "refreshed_funnel_by_agency": _refreshed("funnel_by_agency"),
+    "refreshed_rating_agent": _refreshed("rating_agent"),
+    "refreshed_leaderboard_agent": _refreshed("leaderboard_agent"),
+    "refreshed_churn_agent": _refreshed("churn_agent"),
+    "refreshed_rf_matrix": _refreshed("rf_matrix"),
+    "refreshed_cohort_retention": _refreshed("cohort_retention"),
     "refreshed_rating_agency": _refreshed("rating_agency"),
     "refreshed_funnel_ordered": _refreshed("funnel_ordered"),
 }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ class Settings:
     text_blocks: int = 64
 
 
+JOBS_AT_ONCE = 4
+
 # Columns to fold and to strip to digits, per entity.
 NAMES = {"agent": ["agent_name"], "company": ["agency_name"], "manager": ["manager_name"],
          "market": ["object_type"]}
@@ -55,9 +59,17 @@ def block_of(entity: Entity, settings: Settings) -> Column:
     return F.floor(key / settings.block_ids).cast("bigint").cast("string")
 
 
-def run_cycle(spark: SparkSession, root: str, batch_id: int, batch: dict[str, DataFrame],
-              settings: Settings) -> None:
-    """Take in one batch per entity and bring every table up to date with it.
+def tag(rows: dict[str, DataFrame]) -> DataFrame:
+    """The rows of several entities as text in one DataFrame, named in ``_entity``."""
+    tagged = [
+        part.select(F.lit(name).alias("_entity"), *[F.col(c).cast("string").alias(c) for c in part.columns])
+        for name, part in rows.items()
+    ]
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tagged)
+
+
+def run_cycle(spark: SparkSession, root: str, batch_id: int, tagged: DataFrame, settings: Settings) -> None:
+    """Take in one batch of tagged rows and bring every table up to date with it.
 
     All tables become visible together. A cycle that fails leaves nothing
     visible and can be run again under the same number; one that is already
@@ -67,38 +79,51 @@ def run_cycle(spark: SparkSession, root: str, batch_id: int, batch: dict[str, Da
     if batch_id <= done:
         return
     changed: Tables = {}
-    for name, rows in batch.items():
-        load_raw(rows, root, name, batch_id)
-        changed |= load_staging(spark, root, ENTITIES[name], batch_id, tables, settings)
-    now = {**tables, **{t: {**tables.get(t, {}), **blocks} for t, blocks in changed.items()}}
-    condensed = load_condensed(spark, root, batch_id, changed, now, settings)
-    changed |= condensed
-    now |= {t: {**tables.get(t, {}), **blocks} for t, blocks in condensed.items()}
-    changed |= load_marts(spark, root, batch_id, changed, now, settings)
+
+    def advance(step: Callable[..., Tables], *args) -> None:
+        now = {**tables, **{t: {**tables.get(t, {}), **blocks} for t, blocks in changed.items()}}
+        changed.update(step(spark, root, batch_id, *args, changed, now, settings))
+
+    entities = load_raw(tagged, root, batch_id)
+    advance(load_staging, entities)
+    advance(load_condensed)
+    advance(load_marts)
     warehouse.publish(spark, root, batch_id, changed)
 
 
-def load_raw(rows: DataFrame, root: str, name: str, batch_id: int) -> None:
-    warehouse.write_snapshot(staging.to_raw(rows, name, batch_id), root, f"raw/{name}", batch_id)
+def load_raw(tagged: DataFrame, root: str, batch_id: int) -> list[str]:
+    """Store a batch in one pass, a folder per entity; returns the entities it has."""
+    raw = staging.to_raw(tagged, "feed", batch_id)
+    warehouse.write_snapshot(raw, root, "raw", batch_id, block="_entity")
+    return warehouse.written_blocks(tagged.sparkSession, root, "raw", batch_id, "_entity")
 
 
-def load_staging(spark: SparkSession, root: str, entity: Entity, batch_id: int, tables: Tables,
+def load_staging(spark: SparkSession, root: str, batch_id: int, entities: Sequence[str], changed: Tables,
+                 now: Tables, settings: Settings) -> Tables:
+    """Type the batch of each entity and merge it into the staging tables."""
+    return _all_of(
+        (lambda e=ENTITIES[name]: merge_entity(spark, root, e, batch_id, now, settings)) for name in entities)
+
+
+def merge_entity(spark: SparkSession, root: str, entity: Entity, batch_id: int, now: Tables,
                  settings: Settings) -> Tables:
-    """Merge a raw batch into the blocks of a staging table that it touches."""
-    table = f"staging/{entity.name}"
-    raw = warehouse.read_batch(spark, root, f"raw/{entity.name}", batch_id)
+    """Parse a raw batch once, then merge it into the blocks that it touches.
+
+    The typed batch is kept with its refused cells (:func:`rejected`).
+    """
+    table, typed_table = f"staging/{entity.name}", f"typed/{entity.name}"
+    raw = warehouse.read_batch(spark, root, "raw", batch_id).where(F.col("_entity") == entity.name)
     typed = staging.type_raw(raw, entity, NAMES.get(entity.name, ()), PHONES.get(entity.name, ()),
                              settings.codes.get(entity.name))
-    refused = staging.rejects(typed, entity.key)
-    warehouse.write_snapshot(refused, root, f"reject/{entity.name}", batch_id)
+    warehouse.write_snapshot(typed, root, typed_table, batch_id)
 
+    rows = warehouse.read_batch(spark, root, typed_table, batch_id).drop("_rejects")
+    rows = rows.where(F.col(entity.key[0]).isNotNull())
     block = block_of(entity, settings)
-    keyed = typed.where(F.col(entity.key[0]).isNotNull())
-    touched = [row.block for row in keyed.select(block.alias("block")).distinct().collect()]
+    touched = [row.block for row in rows.select(block.alias("block")).distinct().collect()]
     if not touched:
         return {}
-    rows = typed.drop("_rejects")
-    before = warehouse.read_table(spark, root, table, touched, tables)
+    before = warehouse.read_table(spark, root, table, touched, now)
     if before is not None:
         rows = rows.unionByName(before)
     rows = staging.settle(rows, entity).withColumn("block", block)
@@ -109,25 +134,26 @@ def load_staging(spark: SparkSession, root: str, entity: Entity, batch_id: int,
     return {table: {b: batch_id for b in touched}}
 
 
+def rejected(spark: SparkSession, root: str, entity: Entity) -> DataFrame:
+    """The refused cells of all visible batches: the key, ``column, cell``."""
+    return staging.rejects(warehouse.read_appended(spark, root, f"typed/{entity.name}"), entity.key)
+
+
 def load_condensed(spark: SparkSession, root: str, batch_id: int, changed: Tables, now: Tables,
                    settings: Settings) -> Tables:
     """Condense the touched blocks of deals and events to rows per agent and day.
 
     Deals and events are read here and nowhere else; the marts read the result.
     """
-    condensed: Tables = {}
-    for source, table, condense in (
-        ("staging/deal", "fact/agent_day", _agent_day),
-        ("staging/event", "fact/agent_stage_day", _agent_stage_day),
-    ):
-        touched = changed.get(source)
-        if not touched:
-            continue
-        rows = warehouse.read_table(spark, root, source, list(touched), now)
-        warehouse.write_snapshot(condense(rows, settings), root, table, batch_id, block="block")
+    def condense(source: str, table: str, to_facts: Callable[[DataFrame, Settings], DataFrame]) -> Tables:
+        rows = warehouse.read_table(spark, root, source, list(changed[source]), now)
+        warehouse.write_snapshot(to_facts(rows, settings), root, table, batch_id, block="block")
         # A block without a single stage event has no folder.
-        condensed[table] = {b: batch_id for b in warehouse.written_blocks(spark, root, table, batch_id)}
-    return condensed
+        return {table: {b: batch_id for b in warehouse.written_blocks(spark, root, table, batch_id)}}
+
+    plan = (("staging/deal", "fact/agent_day", _agent_day),
+            ("staging/event", "fact/agent_stage_day", _agent_stage_day))
+    return _all_of((lambda job=job: condense(*job)) for job in plan if job[0] in changed)
 
 
 def _agent_day(deals: DataFrame, settings: Settings) -> DataFrame:
@@ -146,14 +172,25 @@ def _agent_stage_day(events: DataFrame, settings: Settings) -> DataFrame:
 def load_marts(spark: SparkSession, root: str, batch_id: int, changed: Tables, now: Tables,
                settings: Settings) -> Tables:
     """Recompute the marts that depend on a changed table."""
-    written: Tables = {}
     loaded = {table: warehouse.read_table(spark, root, table, tables=now)
               for table in ("fact/agent_day", "fact/agent_stage_day", "staging/agent")}
-    for name, (needs, build) in marts(settings).items():
-        if not any(table in changed for table in needs) or any(loaded[table] is None for table in needs):
-            continue
+
+    def write(name: str, needs: Sequence[str], build: Callable[..., DataFrame]) -> Tables:
         warehouse.write_snapshot(build(*[loaded[table] for table in needs]), root, f"mart/{name}", batch_id)
-        written[f"mart/{name}"] = {WHOLE: batch_id}
+        return {f"mart/{name}": {WHOLE: batch_id}}
+
+    return _all_of(
+        (lambda job=(name, needs, build): write(*job)) for name, (needs, build) in marts(settings).items()
+        if any(table in changed for table in needs) and all(loaded[table] is not None for table in needs))
+
+
+def _all_of(jobs: Iterable[Callable[[], Tables]]) -> Tables:
+    """Submit independent writes together, so that one fills the cores that the
+    tail of another leaves idle. The first failure ends the cycle."""
+    written: Tables = {}
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        for result in pool.map(lambda job: job(), list(jobs)):
+            written.update(result)
     return written
 
 

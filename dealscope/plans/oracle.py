@@ -295,4 +295,11 @@ ORACLE: dict[str, str] = {
     "funnel_daily_stream": _FUNNEL_DAILY,
     "refreshed_rating_agency": _rating("agency_id"),
     "refreshed_funnel_ordered": _ordered(),
+    "refreshed_funnel_snapshot": _snapshot(),
+    "refreshed_funnel_by_agency": _snapshot("agency_id"),
+    "refreshed_rating_agent": _rating("agent_id"),
+    "refreshed_leaderboard_agent": _leaderboard("agent_id"),
+    "refreshed_churn_agent": _churn("agent_id", 180),
+    "refreshed_rf_matrix": _rf_matrix("agent_id"),
+    "refreshed_cohort_retention": _retention("agent_id"),
 }

@@ -92,15 +92,15 @@ def read_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> Dat
 
 
 def read_appended(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All visible batches of a table that only grows (raw rows, rejects), with ``batch_id``."""
+    """All visible batches of a table that only grows (raw and typed rows), with ``batch_id``."""
     return spark.read.parquet(f"{root}/{table}").where(F.col("batch_id") <= committed(spark, root)[0])
 
 
-def written_blocks(spark: SparkSession, root: str, table: str, batch_id: int) -> list[str]:
+def written_blocks(spark: SparkSession, root: str, table: str, batch_id: int, block: str = "block") -> list[str]:
     """The blocks that a batch of a table has folders for."""
     folder = _path(spark, _folder(root, table, batch_id))
     names = [status.getPath().getName() for status in _system(spark, folder).listStatus(folder)]
-    return sorted(name.removeprefix("block=") for name in names if name.startswith("block="))
+    return sorted(name.removeprefix(f"{block}=") for name in names if name.startswith(f"{block}="))
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:

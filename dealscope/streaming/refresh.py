@@ -7,12 +7,9 @@ batch that is run again after a failure replaces itself.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from dealscope.plans.layers import Settings, run_cycle
+from dealscope.plans.layers import Settings, run_cycle, tag
 from dealscope.schemas import ENTITIES
 from dealscope.streaming.feeds import read_feed, text_schema
 
@@ -30,19 +27,11 @@ def feed_streams(spark: SparkSession, feeds: dict[str, str], form: str = "parque
 def refresh(spark: SparkSession, streams: dict[str, DataFrame], root: str, checkpoint: str,
             settings: Settings, trigger: dict) -> None:
     """Run cycles until the trigger ends (``availableNow``) or the job is stopped."""
-    tagged = [
-        stream.select(F.lit(name).alias("_entity"), *[F.col(c).cast("string").alias(c) for c in stream.columns])
-        for name, stream in streams.items()
-    ]
-    together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tagged)
-    columns = {name: stream.columns for name, stream in streams.items()}
-
     def cycle(rows: DataFrame, batch_id: int) -> None:
-        batch = {name: rows.where(F.col("_entity") == name).select(*columns[name]) for name in columns}
-        run_cycle(rows.sparkSession, root, batch_id, batch, settings)
+        run_cycle(rows.sparkSession, root, batch_id, rows, settings)
 
     query = (
-        together.writeStream.trigger(**trigger)
+        tag(streams).writeStream.trigger(**trigger)
         .option("checkpointLocation", checkpoint).foreachBatch(cycle).start()
     )
     query.awaitTermination()
