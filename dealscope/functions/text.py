@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # The characters that count as blank (Java's \s has no
 # no-break spaces, which spreadsheets use to group digits), and quote marks.
-BLANK = r"[\s  ]+"
+BLANK = "[\\s\u00a0\u202f]+"
 QUOTES = "«»„“”\"'"
 
 

@@ -18,7 +18,7 @@ def apply(spark, function, cells):
 
 
 def test_clean(spark):
-    assert apply(spark, text.clean, ["  a \t b ", "", "   ", None, " 1  234 "]) == [
+    assert apply(spark, text.clean, ["  a \t b ", "", "   ", None, "\u00a01 \u202f234\u00a0"]) == [
         "a b", None, None, None, "1 234"]
 
 
@@ -33,7 +33,7 @@ def test_digits(spark):
 
 def test_parse_decimal(spark):
     clean_decimal = lambda cell: text.parse_decimal(text.clean(cell))
-    assert apply(spark, clean_decimal, ["1 234,50", "1 234,50", "12.345", "1x", "", None, "-7"]) == [
+    assert apply(spark, clean_decimal, ["1 234,50", "1\u00a0234,50", "12.345", "1x", "", None, "-7"]) == [
         Decimal("1234.50"), Decimal("1234.50"), Decimal("12.35"), None, None, None, Decimal("-7.00")]
 
 
