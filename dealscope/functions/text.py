@@ -10,15 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that count as blank (Java's \s has no
-# no-break spaces, which spreadsheets use to group digits), and quote marks.
-BLANK = "[\\s\u00a0\u202f]+"
+# Characters that count as a blank besides the space (no-break
+# spaces group digits in spreadsheets), and quote marks.
+BLANKS = "\t\n\r\u000b\u000c\u00a0\u202f"
 QUOTES = "«»„“”\"'"
 
 
 def clean(cell: Column) -> Column:
-    """Collapse runs of blanks, trim, and turn an empty cell into NULL."""
-    return F.nullif(F.trim(F.regexp_replace(cell, BLANK, " ")), F.lit(""))
+    """Collapse runs of blanks, trim, and turn an empty cell into NULL.
+
+    Most cells hold no run, so the regular expression only sees those that do.
+    """
+    plain = F.translate(cell, BLANKS, " " * len(BLANKS))
+    single = F.when(plain.contains("  "), F.regexp_replace(plain, " +", " ")).otherwise(plain)
+    return F.nullif(F.trim(single), F.lit(""))
 
 
 def fold_name(cell: Column) -> Column:
@@ -33,8 +38,8 @@ def digits(cell: Column) -> Column:
 
 def parse_decimal(cell: Column, precision: int = 18, scale: int = 2) -> Column:
     """``'1 234,50'`` or ``'1234.5'`` to a decimal, from a cleaned cell."""
-    plain = F.translate(cell, ", ", ".")
-    return plain.try_cast(f"decimal({precision},{scale})")
+    wanted = f"decimal({precision},{scale})"
+    return F.coalesce(cell.try_cast(wanted), F.translate(cell, ", ", ".").try_cast(wanted))
 
 
 def parse_timestamp(cell: Column) -> Column:
@@ -44,7 +49,8 @@ def parse_timestamp(cell: Column) -> Column:
     midnight = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(serial).cast("int")).cast("timestamp")
     seconds = F.round((serial - F.floor(serial)) * 86400).cast("decimal(18,6)")
     return F.coalesce(
-        F.when(cell.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), cell.try_cast("timestamp")),
+        # A year alone, or a bare number, would also cast.
+        F.when(F.substring(cell, 5, 1) == "-", cell.try_cast("timestamp")),
         F.try_to_timestamp(cell, F.lit("dd.MM.yyyy HH:mm:ss")),
         F.try_to_timestamp(cell, F.lit("dd.MM.yyyy HH:mm")),
         F.try_to_timestamp(cell, F.lit("dd.MM.yyyy")),

@@ -12,10 +12,15 @@ from dealscope.session import cut
 # Bits per level. A window group holds one row per distinct key of a slice, so
 # at most 2**20 rows; three levels cover keys of 60 bits.
 SLICE_BITS = 20
+# As many rows as one task sorts in a second or two.
+FEW_ROWS = 1_000_000
+# The place of rows without a key.
+LAST = 2**63 - 1
 
 
-def ranked(rows: DataFrame, key: Column, within: Sequence[str] = (), out: str = "rnk") -> DataFrame:
-    """Add ``rank()`` by the bigint ``key``, smallest first, ties sharing a rank.
+def ranked(rows: DataFrame, key: Column, within: Sequence[str] = (), out: str = "rnk",
+           few: int = FEW_ROWS) -> DataFrame:
+    """Add ``rank()`` by the bigint ``key``, smallest first, NULL last, ties sharing a rank.
 
     A window ordered over all rows would run in one task, and one partitioned by
     a dimension would put a dimension value that holds a third of the rows in
@@ -24,37 +29,36 @@ def ranked(rows: DataFrame, key: Column, within: Sequence[str] = (), out: str =
     slices of its block, then over the blocks. Tied rows are counted together
     before the first window, so neither ties nor crowded slices make a group
     large. The rows are computed once and cut from their lineage, since both the
-    counting and the result read them.
+    counting and the result read them; when the computed rows are counted to be
+    ``few``, one plain window ranks them.
     """
-    within = list(within)
-    rows = cut(rows.withColumn("_key", key))
-    keys = rows.groupBy(*within, "_key").agg(F.count("*").alias("_n"))
+    # As a struct, a group whose name is NULL is a group like any other. With
+    # neither groups nor keys NULL, the joins need no filters of their own and
+    # the branches share their shuffles.
+    group = ["_group"] if within else []
+    ordered = {"_key": F.coalesce(key, F.lit(LAST))}
+    tagged = cut(rows.withColumns({**ordered, **({"_group": F.struct(*within)} if within else {})}))
+
+    if tagged.count() <= few:
+        place = F.rank().over(Window.partitionBy(*group).orderBy("_key")).cast("bigint")
+        return tagged.select(*rows.columns, place.alias(out))
+
+    keys = tagged.groupBy(*group, "_key").agg(F.count("*").alias("_n"))
     keys = keys.withColumn("_slice", F.shiftright("_key", SLICE_BITS))
-    slices = keys.groupBy(*within, "_slice").agg(F.sum("_n").alias("_n"))
+    slices = keys.groupBy(*group, "_slice").agg(F.sum("_n").alias("_n"))
     slices = slices.withColumn("_block", F.shiftright("_slice", SLICE_BITS))
-    blocks = slices.groupBy(*within, "_block").agg(F.sum("_n").alias("_n"))
+    blocks = slices.groupBy(*group, "_block").agg(F.sum("_n").alias("_n"))
 
-    in_block = slices.select(*within, "_slice", "_block", _before([*within, "_block"], "_slice").alias("_b2"))
-    in_all = blocks.select(*within, "_block", _before(within, "_block").alias("_b3"))
-    starts = _join(in_block, in_all, [*within, "_block"]).select(
-        *within, "_slice", (F.col("_b2") + F.col("_b3")).alias("_start"))
-    in_slice = keys.select(*within, "_slice", "_key", _before([*within, "_slice"], "_key").alias("_b1"))
-    places = _join(in_slice, starts, [*within, "_slice"]).select(
-        *within, "_key", (F.col("_start") + F.col("_b1") + 1).cast("bigint").alias(out))
-    return _join(rows, places, [*within, "_key"]).drop("_key")
+    in_all = blocks.select(*group, "_block", _before(group, "_block").alias("_b3"))
+    in_block = slices.select(*group, "_block", "_slice", _before([*group, "_block"], "_slice").alias("_b2"))
+    in_slice = keys.select(*group, "_slice", "_key", _before([*group, "_slice"], "_key").alias("_b1"))
+    starts = in_block.join(in_all, [*group, "_block"]).drop("_block")
+    places = in_slice.join(starts, [*group, "_slice"]).select(
+        *group, "_key", (F.col("_b1") + F.col("_b2") + F.col("_b3") + 1).cast("bigint").alias(out))
+    return tagged.join(places, [*group, "_key"]).select(*rows.columns, out)
 
 
 def _before(group: Sequence[str], order: str) -> Column:
     """Rows counted in ``_n`` ahead of this one in its group."""
     window = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum("_n").over(window), F.lit(0))
-
-
-def _join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Equi-join in which NULL keys match, so rows of no group keep their rank."""
-    right = right.select(*[F.col(c).alias(f"_r{c}") if c in on else F.col(c) for c in right.columns])
-    same = [left[c].eqNullSafe(right[f"_r{c}"]) for c in on]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    return left.join(right, condition).drop(*[f"_r{c}" for c in on])

@@ -106,5 +106,10 @@ def settle(typed: DataFrame, entity: Entity) -> DataFrame:
 
 
 def rejects(typed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per refused cell: the key, ``column, cell``."""
-    return typed.where(F.col("_rejects").isNotNull()).select(*keys, F.inline("_rejects"))
+    """One row per refused cell: the key, ``column, cell``.
+
+    The filter stands behind the outer generator, where Catalyst cannot copy the
+    parsers into it and run them twice.
+    """
+    cells = typed.select(*keys, F.inline_outer("_rejects"))
+    return cells.where(F.col("column").isNotNull())

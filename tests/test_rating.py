@@ -1,9 +1,11 @@
 """Ranks, ratings and leaderboards, with ties and crowded groups."""
 
+import functools
 import random
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from dealscope.operators import facts, rating
@@ -21,7 +23,8 @@ def agents_of(spark, pairs):
     return spark.createDataFrame(pairs, "agent_id long, agency_id string")
 
 
-def test_ranked_against_brute_force(spark):
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_ranked_against_brute_force(spark, few):
     """Keys far apart and close together, negative ones, a third of all rows tied."""
     pick = random.Random(3)
     keys = [0] * 700 + [pick.choice((1, -1)) * pick.randrange(1 << pick.choice((3, 20, 22, 41, 59)))
@@ -29,14 +32,25 @@ def test_ranked_against_brute_force(spark):
     groups = ["big" if pick.random() < 0.5 else f"g{pick.randrange(5)}" for _ in keys]
     rows = spark.createDataFrame(list(zip(range(len(keys)), keys, groups)), "id long, v long, g string")
 
-    got = {r.id: r.rnk for r in ranked(rows, F.col("v")).collect()}
+    got = {r.id: r.rnk for r in ranked(rows, F.col("v"), few=few).collect()}
     assert got == {i: 1 + sum(k < key for k in keys) for i, key in enumerate(keys)}
 
-    inside = {r.id: r.rnk for r in ranked(rows, F.col("v"), ["g"]).collect()}
+    inside = {r.id: r.rnk for r in ranked(rows, F.col("v"), ["g"], few=few).collect()}
     assert inside == {i: 1 + sum(k < key for k, h in zip(keys, groups) if h == groups[i])
                       for i, key in enumerate(keys)}
 
 
+def test_ratings_do_not_depend_on_the_way_they_are_ranked(spark, monkeypatch):
+    rows = [(n % 40, f"{n % 7}.00", "F", DAY) for n in range(200)]
+    agents = agents_of(spark, [(a, None if a % 3 else "x") for a in range(40)])
+    deal_facts = facts.deal_facts(deal_frame(spark, rows), "F")
+    marts = lambda: [sorted(map(str, mart.collect())) for mart in (
+        rating.rating(deal_facts), rating.rating(deal_facts, agents), rating.rating_within(deal_facts, agents))]
+    plain = marts()
+    monkeypatch.setattr(rating, "ranked", functools.partial(ranked, few=0))
+    assert marts() == plain
+
+
 def test_ties_share_a_rank_and_ids_break_the_leaderboard(spark):
     deals = deal_frame(spark, [(1, "10.00", "F", DAY), (2, "10.00", "F", DAY), (3, "5.01", "F", DAY),
                                (3, "4.98", "F", DAY), (4, "99.00", "O", DAY), (5, None, "F", DAY)])
