@@ -7,22 +7,26 @@ where a plain cast of one dirty cell would fail the whole job.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters that count as a blank besides the space (no-break
-# spaces group digits in spreadsheets), and quote marks.
-BLANKS = "\t\n\r\u000b\u000c\u00a0\u202f"
+# What counts as a blank besides the single space (no-break spaces
+# group digits in spreadsheets), and quote marks.
+BLANKS = ("  ", "\t", "\n", "\r", "\u000b", "\u000c", "\u00a0", "\u202f")
+BLANK_RUN = "[ \t\n\r\u000b\u000c\u00a0\u202f]+"
 QUOTES = "«»„“”\"'"
 
 
 def clean(cell: Column) -> Column:
     """Collapse runs of blanks, trim, and turn an empty cell into NULL.
 
-    Most cells hold no run, so the regular expression only sees those that do.
+    Most cells hold neither runs nor odd blanks, which a search for substrings
+    finds out far faster than the regular expression that repairs the others.
     """
-    plain = F.translate(cell, BLANKS, " " * len(BLANKS))
-    single = F.when(plain.contains("  "), F.regexp_replace(plain, " +", " ")).otherwise(plain)
+    odd = reduce(Column.__or__, [cell.contains(blank) for blank in BLANKS])
+    single = F.when(odd, F.regexp_replace(cell, BLANK_RUN, " ")).otherwise(cell)
     return F.nullif(F.trim(single), F.lit(""))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ AGENT_DAYS = 180
 AGENCY_DAYS = 30
 TOP = 10
 QUANTILES = (0.25, 0.5, 0.75)
+YEAR = (date(2000, 1, 1), date(2000, 12, 31))
 
 
 def _funnel(function, by_agency: bool = False, by_period: bool = False) -> Query:
@@ -40,13 +42,13 @@ def _funnel_ordered(by_agency: bool = False, by_period: bool = False) -> Query:
     return run
 
 
-def _deals(function, *args, by_agency: bool = False, won_only: bool = False) -> Query:
+def _deals(function, *args, by_agency: bool = False, won_only: bool = False, **options) -> Query:
     """A mart over deal facts; ``won_only`` marts read won deals alone."""
     source = views.won_facts if won_only else views.deal_facts
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         agents = {"agents": views.agents(spark, sf_dir)} if by_agency else {}
-        return function(source(spark, sf_dir), *args, **agents)
+        return function(source(spark, sf_dir), *args, **agents, **options)
     return run
 
 
@@ -147,7 +149,10 @@ QUERIES: dict[str, Query] = {
     "rating_agent_in_agency": _deals(rating.rating_within, by_agency=True, won_only=True),
     "leaderboard_agent": _deals(rating.leaderboard, TOP, won_only=True),
     "leaderboard_agency": _deals(rating.leaderboard, TOP, by_agency=True, won_only=True),
+    "leaderboard_agent_in_year": _deals(rating.leaderboard, TOP, won_only=True, period=YEAR),
+    "rating_agency_in_year": _deals(rating.rating, by_agency=True, won_only=True, period=YEAR),
     "churn_agent": _deals(churn.churn, AGENT_DAYS),
+    "churn_agent_as_of": _deals(churn.churn, AGENT_DAYS, asof=YEAR[1]),
     "churn_agency": _deals(churn.churn, AGENCY_DAYS, by_agency=True),
     "activity_status": _deals(churn.activity_status, AGENT_DAYS),
     "rf_segment": _deals(rf.rf_segment),
@@ -156,6 +161,7 @@ QUERIES: dict[str, Query] = {
     "rf_cuts": _deals(rf.rf_cuts, QUANTILES),
     "cohort_size": _deals(cohort.cohort_size),
     "cohort_retention": _deals(cohort.cohort_retention),
+    "cohort_retention_quarter": _deals(cohort.cohort_retention, "quarter"),
     "cohort_retention_agency": _deals(cohort.cohort_retention, by_agency=True),
     "agent_day": agent_day,
     "agent_stage_day": agent_stage_day,

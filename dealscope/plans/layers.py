@@ -88,7 +88,18 @@ def run_cycle(spark: SparkSession, root: str, batch_id: int, tagged: DataFrame,
     advance(load_staging, entities)
     advance(load_condensed)
     advance(load_marts)
-    warehouse.publish(spark, root, batch_id, changed)
+    warehouse.publish(spark, root, batch_id, changed, marks_of(spark, root, batch_id, entities))
+
+
+def marks_of(spark: SparkSession, root: str, batch_id: int, entities: Sequence[str]) -> dict[str, str]:
+    """How far the batch takes the cursor of each entity that has one."""
+    marks = {}
+    for entity in (ENTITIES[name] for name in entities if "updated_at" in ENTITIES[name].schema.fieldNames()):
+        typed = warehouse.read_batch(spark, root, f"typed/{entity.name}", batch_id)
+        mark = typed.agg(F.max("updated_at").cast("string")).first()[0]
+        if mark:
+            marks[entity.name] = mark
+    return marks
 
 
 def load_raw(tagged: DataFrame, root: str, batch_id: int) -> list[str]:

@@ -91,11 +91,15 @@ FROM stage LEFT JOIN found USING (stage_no)"""
     return f"WITH {_EVENTS}, {','.join(steps)}, passed AS ({passed}), {tail}"
 
 
-def _rating(by: str) -> str:
+_IN_YEAR = "AND deal_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'"
+
+
+def _rating(by: str, period: str = "") -> str:
     return f"""
 WITH {_DEALS},
 total AS (
-  SELECT {by}, count(*) AS deals, sum(amount) AS volume FROM agency_deal WHERE status = 'F' GROUP BY {by})
+  SELECT {by}, count(*) AS deals, sum(amount) AS volume FROM agency_deal
+  WHERE status = 'F' {period} GROUP BY {by})
 SELECT {by}, CAST(deals AS BIGINT) AS deals, CAST(volume AS DECIMAL(38,2)) AS volume,
        CAST(rank() OVER (ORDER BY volume DESC) AS BIGINT) AS rnk
 FROM total"""
@@ -111,24 +115,26 @@ SELECT agency_id, agent_id, CAST(deals AS BIGINT) AS deals, CAST(volume AS DECIM
 FROM total"""
 
 
-def _leaderboard(by: str) -> str:
+def _leaderboard(by: str, period: str = "") -> str:
     return f"""
 WITH {_DEALS},
 total AS (
-  SELECT {by}, count(*) AS deals, sum(amount) AS volume FROM agency_deal WHERE status = 'F' GROUP BY {by})
+  SELECT {by}, count(*) AS deals, sum(amount) AS volume FROM agency_deal
+  WHERE status = 'F' {period} GROUP BY {by})
 SELECT CAST(row_number() OVER (ORDER BY volume DESC, {by}) AS BIGINT) AS place, {by},
        CAST(deals AS BIGINT) AS deals, CAST(volume AS DECIMAL(38,2)) AS volume
 FROM total ORDER BY volume DESC, {by} LIMIT 10"""
 
 
-def _churn(by: str, days: int) -> str:
+def _churn(by: str, days: int, asof: str = "") -> str:
+    reference = f", day_of AS (SELECT DATE '{asof}' AS day)" if asof else ", day_of AS (SELECT day FROM ref)"
     return f"""
-WITH {_DEALS},
+WITH {_DEALS}{reference},
 active AS (
   SELECT {by},
          max(CASE WHEN deal_date > day - {2 * days} AND deal_date <= day - {days} THEN 1 ELSE 0 END) AS prev,
          max(CASE WHEN deal_date > day - {days} AND deal_date <= day THEN 1 ELSE 0 END) AS curr
-  FROM agency_deal CROSS JOIN ref GROUP BY {by}),
+  FROM agency_deal CROSS JOIN day_of GROUP BY {by}),
 counted AS (
   SELECT sum(prev) AS active_prev, sum(CASE WHEN prev = 1 AND curr = 0 THEN 1 ELSE 0 END) AS churned FROM active)
 SELECT CAST(active_prev AS BIGINT) AS active_prev, CAST(churned AS BIGINT) AS churned,
@@ -187,6 +193,19 @@ first AS (SELECT agent_id, CAST(date_trunc('month', min(deal_date)) AS DATE) AS
 SELECT cohort, CAST(count(*) AS BIGINT) AS size FROM first GROUP BY cohort"""
 
 
+_QUARTERS = """
+WITH {deals},
+active AS (SELECT DISTINCT agent_id, CAST(date_trunc('quarter', deal_date) AS DATE) AS part FROM deal),
+first AS (SELECT agent_id, min(part) AS cohort FROM active GROUP BY agent_id),
+size AS (SELECT cohort, count(*) AS size FROM first GROUP BY cohort),
+counted AS (
+  SELECT cohort, date_diff('quarter', cohort, part) AS k, count(*) AS active
+  FROM active JOIN first USING (agent_id) GROUP BY 1, 2)
+SELECT cohort, CAST(k AS BIGINT) AS k, CAST(size AS BIGINT) AS size, CAST(active AS BIGINT) AS active,
+       CAST(active AS DOUBLE) / CAST(size AS DOUBLE) AS retention
+FROM counted JOIN size USING (cohort)""".format(deals=_DEALS)
+
+
 def _retention(by: str) -> str:
     return f"""
 WITH {_DEALS},
@@ -272,6 +291,10 @@ ORACLE: dict[str, str] = {
     "rating_agent_in_agency": _RATING_WITHIN,
     "leaderboard_agent": _leaderboard("agent_id"),
     "leaderboard_agency": _leaderboard("agency_id"),
+    "leaderboard_agent_in_year": _leaderboard("agent_id", _IN_YEAR),
+    "rating_agency_in_year": _rating("agency_id", _IN_YEAR),
+    "churn_agent_as_of": _churn("agent_id", 180, "2000-12-31"),
+    "cohort_retention_quarter": _QUARTERS,
     "churn_agent": _churn("agent_id", 180),
     "churn_agency": _churn("agency_id", 30),
     "activity_status": _ACTIVITY,

@@ -2,35 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 
 from dealscope.operators.versions import incremental
 
 FETCH_ROWS = 10_000
 
 
-def read_crm(spark: SparkSession, url: str, table: str, key: str, num_chunks: int, cursor: str | None = None,
-             since: datetime | None = None, columns: Sequence[str] | None = None,
-             properties: dict[str, str] | None = None) -> DataFrame:
-    """Rows of a table at or after the cursor, read in ``num_chunks`` key ranges.
+@dataclass(frozen=True)
+class CrmTable:
+    """Where a table is, and the columns that chunk and order its rows.
+
+    ``columns`` maps output names to the table's own.
+    """
+
+    url: str
+    table: str
+    key: str
+    columns: dict[str, str]
+    cursor: str | None = None
+    num_chunks: int = 8
+    properties: dict[str, str] = field(default_factory=dict)
+
+
+def read_crm(spark: SparkSession, source: CrmTable, since: datetime | None = None) -> DataFrame:
+    """Rows of a table at or after ``since``, read in ``num_chunks`` key ranges.
 
     One query for one row finds the range of keys that changed; the chunks split
     that range, so an increment at the end of the table still uses all of them.
     The cursor filter and the column list are pushed to the database.
     """
-    reader = _reader(spark, url, properties)
-    bounds = reader.option("query", bounds_query(table, key, cursor, since)).load().first()
+    query = bounds_query(source.table, source.key, source.cursor, since)
+    bounds = _reader(spark, source).option("query", query).load().first()
     low, high = (bounds[0], bounds[1]) if bounds else (None, None)
-    reader = _reader(spark, url, properties).option("dbtable", table)
-    for name, value in chunk_options(key, low, high, num_chunks).items():
+    reader = _reader(spark, source).option("dbtable", source.table)
+    for name, value in chunk_options(source.key, low, high, source.num_chunks).items():
         reader = reader.option(name, value)
     rows = reader.load()
-    if cursor:
-        rows = incremental(rows, cursor, since)
-    return rows.select(*columns) if columns else rows
+    if source.cursor:
+        rows = incremental(rows, source.cursor, since)
+    return rows.select(*[F.col(stored).alias(name) for name, stored in source.columns.items()])
 
 
 def bounds_query(table: str, key: str, cursor: str | None, since: datetime | None) -> str:
@@ -55,9 +70,9 @@ def chunk_options(key: str, low: int | None, high: int | None, num_chunks: int)
     }
 
 
-def _reader(spark: SparkSession, url: str, properties: dict[str, str] | None) -> DataFrameReader:
-    reader = spark.read.format("jdbc").option("url", url).option("fetchsize", FETCH_ROWS)
-    for name, value in (properties or {}).items():
+def _reader(spark: SparkSession, source: CrmTable) -> DataFrameReader:
+    reader = spark.read.format("jdbc").option("url", source.url).option("fetchsize", FETCH_ROWS)
+    for name, value in source.properties.items():
         reader = reader.option(name, value)
     return reader
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,20 +30,25 @@ def write_snapshot(rows: DataFrame, root: str, table: str, batch_id: int, block:
     writer.parquet(_folder(root, table, batch_id))
 
 
-def publish(spark: SparkSession, root: str, batch_id: int, changed: Tables) -> None:
+def publish(spark: SparkSession, root: str, batch_id: int, changed: Tables,
+            cursors: dict[str, str] | None = None) -> None:
     """Make a batch visible. Tables and blocks not in ``changed`` keep their state.
 
-    Publishing a batch that is already visible does nothing: a replayed cycle
-    wrote the same rows.
+    ``cursors`` are the high-water marks reached, one per entity. Publishing a
+    batch that is already visible does nothing: a replayed cycle wrote the same
+    rows.
     """
-    done, tables = committed(spark, root)
-    if batch_id <= done:
+    record = _last_record(spark, root)
+    if batch_id <= record["batch"]:
         return
+    tables, marks = record["tables"], record["cursors"]
+    for entity, mark in (cursors or {}).items():
+        marks[entity] = max(mark, marks.get(entity, mark))
     for table, blocks in changed.items():
         kept = {} if WHOLE in blocks else tables.get(table, {})
         tables[table] = {**kept, **blocks}
-    record = json.dumps({"batch": batch_id, "tables": tables}, sort_keys=True)
-    _create(spark, f"{root}/_commits", f"{batch_id:020d}.json", record)
+    body = json.dumps({"batch": batch_id, "tables": tables, "cursors": marks}, sort_keys=True)
+    _create(spark, f"{root}/_commits", f"{batch_id:020d}.json", body)
 
 
 def write_atomic(rows: DataFrame, root: str, table: str, batch_id: int) -> None:
@@ -56,16 +62,30 @@ def write_atomic(rows: DataFrame, root: str, table: str, batch_id: int) -> None:
 
 def committed(spark: SparkSession, root: str) -> tuple[int, Tables]:
     """The last visible batch, ``-1`` if there is none, and its tables."""
+    record = _last_record(spark, root)
+    return record["batch"], record["tables"]
+
+
+def last_seen(spark: SparkSession, root: str, entity: str) -> datetime | None:
+    """The high-water mark of an entity, from which the next load reads on."""
+    mark = _last_record(spark, root)["cursors"].get(entity)
+    return datetime.fromisoformat(mark) if mark else None
+
+
+def _last_record(spark: SparkSession, root: str) -> dict:
+    names = _record_names(spark, root)
+    if not names:
+        return {"batch": -1, "tables": {}, "cursors": {}}
+    return json.loads(_read(spark, f"{root}/_commits/{names[-1]}"))
+
+
+def _record_names(spark: SparkSession, root: str) -> list[str]:
     folder = _path(spark, f"{root}/_commits")
     system = _system(spark, folder)
     if not system.exists(folder):
-        return -1, {}
+        return []
     names = [status.getPath().getName() for status in system.listStatus(folder)]
-    records = sorted(name for name in names if name.endswith(".json") and not name.startswith("."))
-    if not records:
-        return -1, {}
-    record = json.loads(_read(spark, f"{root}/_commits/{records[-1]}"))
-    return record["batch"], record["tables"]
+    return sorted(name for name in names if name.endswith(".json") and not name.startswith("."))
 
 
 def read_table(spark: SparkSession, root: str, table: str, blocks: list[str] | None = None,
@@ -118,12 +138,7 @@ def expire(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
     being written is safe; tables that
     only grow are not named in the records, so they are never touched.
     """
-    folder = _path(spark, f"{root}/_commits")
-    system = _system(spark, folder)
-    if not system.exists(folder):
-        return []
-    names = sorted(s.getPath().getName() for s in system.listStatus(folder)
-                   if s.getPath().getName().endswith(".json"))
+    names = _record_names(spark, root)
     live, last = set(), -1
     known: set[str] = set()
     for name in names[-keep:]:
@@ -133,6 +148,7 @@ def expire(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
             known.add(table)
             live |= {(table, n) for n in blocks.values()}
     gone = []
+    system = _system(spark, _path(spark, root))
     for table in sorted(known):
         for status in system.listStatus(_path(spark, f"{root}/{table}")):
             number = status.getPath().getName().removeprefix("batch_id=")
@@ -169,8 +185,14 @@ def _create(spark: SparkSession, folder: str, name: str, body: str) -> None:
         out.write(bytearray(body.encode()))
     finally:
         out.close()
+    move(spark, f"{folder}/{draft.getName()}", f"{folder}/{name}")
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder in one step, failing if the target exists."""
+    start, end = _path(spark, source), _path(spark, target)
     options = spark.sparkContext._gateway.new_array(
         spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
     context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        final.toUri(), spark._jsc.hadoopConfiguration())
-    context.rename(draft, final, options)
+        end.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(start, end, options)

@@ -17,17 +17,19 @@ def daily_counts(events: DataFrame, stages: tuple[str, ...], lateness: str) -> D
 
     An event delivered again within ``lateness`` counts once, an event later
     than that is not counted. Both the ids remembered and the open days are
-    bounded by the watermark.
+    bounded by the watermark. Days are those of the session's time zone: Spark's
+    windows start at midnight UTC, so the time is moved there and back.
     """
+    zone = F.current_timezone()
     return (
         events.where(F.col("stage_code").isin(list(stages)))
-        .withColumn("ts", F.col("ts").cast("timestamp"))
+        .withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), zone))
         .withWatermark("ts", lateness)
         .dropDuplicatesWithinWatermark(["event_id"])
         .groupBy(F.window("ts", "1 day").alias("window"), stage_number(F.col("stage_code"), stages).alias("stage_no"))
         .agg(F.count("*").alias("events"))
         .select(
-            F.col("window.start").cast("date").alias("day"),
+            F.to_utc_timestamp("window.start", zone).cast("date").alias("day"),
             F.col("stage_no").cast("bigint").alias("stage_no"),
             "events",
         )

@@ -16,10 +16,12 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*",
               form: str = "parquet", max_files: int = 1000) -> DataFrame:
-    """A stream of the files that appear in a folder; ``max_files`` is the chunk of one batch."""
+    """A stream of the files that appear in a folder or below it; ``max_files`` is
+    the chunk of one batch."""
     return (
         spark.readStream.format(form).schema(schema)
         .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
         .load(path)
     )

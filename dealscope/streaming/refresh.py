@@ -7,12 +7,41 @@ batch that is run again after a failure replaces itself.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dealscope.plans.layers import Settings, run_cycle, tag
 from dealscope.schemas import ENTITIES
+from dealscope.sources import warehouse
+from dealscope.sources.crm import CrmTable, read_crm
 from dealscope.streaming.feeds import read_feed, text_schema
 
+DAY_OF_CYCLES = 144
+
+
+def land(rows: DataFrame, name: str, folder: str) -> None:
+    """Append an extract to the folder that feeds an entity, as text.
+
+    This is how relational, spreadsheet and API reads enter the refresh. An
+    extract appears whole, by one rename, so a cursor never moves past rows that
+    a failed extract left out. Landing one twice is harmless: only the latest
+    version of a key counts.
+    """
+    spark, extract = rows.sparkSession, uuid.uuid4().hex
+    columns = ENTITIES[name].schema.fieldNames()
+    present = [F.col(c).cast("string").alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c)
+               for c in columns]
+    rows.select(*present).write.parquet(f"{folder}/_{extract}")
+    warehouse.move(spark, f"{folder}/_{extract}", f"{folder}/{extract}")
+
+
+def pull_crm(spark: SparkSession, tables: dict[str, CrmTable], root: str, feeds: dict[str, str]) -> None:
+    """Land what changed in the relational tables since the last visible cycle."""
+    for name, table in tables.items():
+        land(read_crm(spark, table, warehouse.last_seen(spark, root, name)), name, feeds[name])
+
 
 def feed_streams(spark: SparkSession, feeds: dict[str, str], form: str = "parquet",
                  max_files: int = 1000) -> dict[str, DataFrame]:
@@ -25,10 +54,14 @@ def feed_streams(spark: SparkSession, feeds: dict[str, str], form: str = "parque
 
 
 def refresh(spark: SparkSession, streams: dict[str, DataFrame], root: str, checkpoint: str,
-            settings: Settings, trigger: dict) -> None:
-    """Run cycles until the trigger ends (``availableNow``) or the job is stopped."""
+            settings: Settings, trigger: dict, keep: int = DAY_OF_CYCLES) -> None:
+    """Run cycles until the trigger ends (``availableNow``) or the job is stopped.
+
+    The files of the last ``keep`` cycles stay for readers that began on them.
+    """
     def cycle(rows: DataFrame, batch_id: int) -> None:
         run_cycle(rows.sparkSession, root, batch_id, rows, settings)
+        warehouse.expire(rows.sparkSession, root, keep)
 
     query = (
         tag(streams).writeStream.trigger(**trigger)

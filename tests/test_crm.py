@@ -2,7 +2,11 @@
 
 from datetime import datetime
 
-from dealscope.sources import crm
+import pytest
+
+from dealscope import schemas
+from dealscope.sources import crm, warehouse
+from dealscope.streaming import refresh
 
 
 def test_chunks_cover_the_range():
@@ -42,16 +46,37 @@ class Recorder:
         return self.frame
 
 
-def test_read_uses_bounds_filter_and_columns(spark):
+@pytest.fixture
+def session(spark):
     rows = spark.createDataFrame([(n, datetime(2024, 1, n), "x") for n in range(1, 10)],
-                                 "id long, updated_at timestamp, other string")
-    log = []
+                                 "id long, changed timestamp, other string")
 
     class Session:
+        log = []
         read = Recorder(rows, log)
 
-    got = crm.read_crm(Session, "jdbc:x", "deal", "id", 4, "updated_at", datetime(2024, 1, 7), ["id"],
-                       {"user": "u"})
-    assert [r.id for r in got.collect()] == [7, 8, 9] and got.columns == ["id"]
-    assert log[1] == {"format": "jdbc", "url": "jdbc:x", "fetchsize": 10_000, "user": "u", "dbtable": "deal",
-                      "partitionColumn": "id", "lowerBound": "1", "upperBound": "10", "numPartitions": "4"}
+    return Session
+
+
+TABLE = crm.CrmTable("jdbc:x", "deal", "id", {"deal_id": "id", "updated_at": "changed"}, "changed", 4, {"user": "u"})
+
+
+def test_read_uses_bounds_filter_and_columns(session):
+    got = crm.read_crm(session, TABLE, datetime(2024, 1, 7))
+    assert [r.deal_id for r in got.collect()] == [7, 8, 9] and got.columns == ["deal_id", "updated_at"]
+    assert session.log[1] == {"format": "jdbc", "url": "jdbc:x", "fetchsize": 10_000, "user": "u", "dbtable": "deal",
+                              "partitionColumn": "id", "lowerBound": "1", "upperBound": "10", "numPartitions": "4"}
+
+
+def test_pull_reads_on_from_the_last_cycle(spark, session, tmp_path, monkeypatch):
+    root, folder = f"file://{tmp_path}/w", f"file://{tmp_path}/deal"
+    monkeypatch.setattr(refresh, "read_crm", lambda _, table, since: crm.read_crm(session, table, since))
+    refresh.pull_crm(spark, {"deal": TABLE}, root, {"deal": folder})
+    assert spark.read.parquet(f"{folder}/*").count() == 9
+    warehouse.publish(spark, root, 0, {}, {"deal": "2024-01-08 00:00:00"})
+    warehouse.publish(spark, root, 1, {}, {"deal": "2024-01-02 00:00:00"})
+    assert warehouse.last_seen(spark, root, "deal") == datetime(2024, 1, 8)
+    refresh.pull_crm(spark, {"deal": TABLE}, root, {"deal": folder})
+    landed = spark.read.parquet(f"{folder}/*")
+    assert landed.count() == 11 and landed.where("deal_id = '8'").count() == 2
+    assert landed.columns == schemas.DEAL.schema.fieldNames() and {k for _, k in landed.dtypes} == {"string"}

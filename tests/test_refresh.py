@@ -75,11 +75,13 @@ def test_streamed_pieces_equal_batches(spark, tmp_path, full):
     folders = {name: f"file://{landing}/{name}" for name in COLUMNS}
     for number, batch in enumerate(batches()):
         for name, rows in batch.items():
-            frame(spark, name, rows).coalesce(1).write.mode("append").parquet(folders[name])
+            refresh.land(frame(spark, name, rows), name, folders[name])
         refresh.refresh(spark, refresh.feed_streams(spark, folders), root, f"file://{tmp_path}/c", SETTINGS,
                         feeds.AVAILABLE_NOW)
         assert warehouse.committed(spark, root)[0] == number
     assert contents(spark, root) == full
+    assert warehouse.last_seen(spark, root, "deal") == T0 + timedelta(days=502)
+    assert warehouse.last_seen(spark, root, "event") is None
 
 
 def test_marts_equal_marts_of_the_final_rows(spark, tmp_path, full):
