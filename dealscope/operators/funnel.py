@@ -6,6 +6,7 @@ A unit is an agent, or an agent in a calendar period.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,13 @@ from pyspark.sql import functions as F
 from dealscope.operators.facts import attribute, stage_number
 
 
+# A digit of a path, and how many stages leave room for the time
+# that orders paths in the same number.
+DIGIT = 15
+MOST_STAGES = 9
+PATH_BITS = 4 * (MOST_STAGES + 1)
+
+
 def funnel_reached(marks: DataFrame, n_stages: int, period: str | None = None,
                    agents: DataFrame | None = None, by_period: bool = False) -> DataFrame:
     """Units that touched each stage: ``[dims], stage_no, units``."""
@@ -80,12 +88,12 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def stage_paths(events: DataFrame, stages: Sequence[str], *extra: str) -> DataFrame:
-    """What one day does to an agent's progress: ``agent_id, day, after``.
+    """What one day does to an agent's progress: ``agent_id, day, path``.
 
-    ``after[s]`` is the stage an agent stands at in the evening when they stood
-    at stage ``s`` in the morning, moving up whenever the next stage occurs at
-    the same or a later moment. Such arrays compose in time order, so a long
-    history is folded piece by piece, and no task ever holds a whole unit:
+    A path says, for every stage an agent may stand at in the morning, where
+    they stand in the evening, moving up whenever the next stage occurs at the
+    same or a later moment. Paths compose in time order, so a long history is
+    folded piece by piece, and no task ever holds a whole unit:
 
     * a second has at most a million distinct moments (timestamps are in
       microseconds), each with one entry per stage, copies being dropped;
@@ -93,47 +101,91 @@ def stage_paths(events: DataFrame, stages: Sequence[str], *extra: str) -> DataFr
 
     Both groups are bounded by the calendar, whatever the number of rows, and
     one agent's events are spread over tasks by the second.
-    """
-    moment = F.struct(F.col("ts"), stage_number(F.col("stage_code"), stages).alias("stage_no"))
-    start = F.array(*[F.lit(stage) for stage in range(len(stages) + 1)])
 
-    def climb(standing: Column, entry: Column) -> Column:
-        return F.transform(standing, lambda at: F.when(at == entry["stage_no"] - 1, at + 1).otherwise(at))
-
-    second = F.date_trunc("second", F.col("ts")).alias("second")
+    A path is one number, a digit of four bits per stage stood at, so the groups
+    are arrays of numbers that sort fast.
+    """
+    if len(stages) > MOST_STAGES:
+        raise ValueError(f"a path holds at most {MOST_STAGES} stages")
+    ts = F.col("ts").cast("timestamp")
+    place = stage_number(F.col("stage_code"), stages) - 1
+    # Negative, so that an ascending sort puts the last moment first.
+    moment = -(F.unix_micros(ts) * (DIGIT + 1) + place)
+    day = F.col("second").cast("date")
+    since_midnight = F.unix_seconds("second") - F.unix_seconds(day.cast("timestamp"))
     return (
         events.where(F.col("stage_code").isin(list(stages)) & F.col("ts").isNotNull())
-        .groupBy(*extra, "agent_id", second)
+        .groupBy(*extra, "agent_id", F.date_trunc("second", ts).alias("second"))
         .agg(F.sort_array(F.collect_set(moment)).alias("moments"))
-        .select(*extra, "agent_id", "second", F.aggregate("moments", start, climb).alias("after"))
-        .groupBy(*extra, "agent_id", F.col("second").cast("date").alias("day"))
-        .agg(F.sort_array(F.collect_list(F.struct("second", "after"))).alias("steps"))
-        .select(*extra, "agent_id", "day", _compose("steps", len(stages)).alias("after"))
+        .select(*extra, "agent_id", "second", _path_of("moments", len(stages)).alias("path"))
+        .groupBy(*extra, "agent_id", day.alias("day"))
+        .agg(_in_order(since_midnight).alias("steps"))
+        .select(*extra, "agent_id", "day", _compose("steps", len(stages)).alias("path"))
     )
 
 
+def _shift(name: str, number: Column, digits: Column) -> Column:
+    return F.call_function(name, number, (digits * 4).cast("int"))
+
+
+def _digit(path: Column, stage: Column) -> Column:
+    return _shift("shiftright", path, stage).bitwiseAND(F.lit(DIGIT).cast("bigint"))
+
+
+def _staying(n_stages: int) -> Column:
+    return F.lit(sum(stage << 4 * stage for stage in range(n_stages + 1))).cast("bigint")
+
+
+def _path_of(moments: str, n_stages: int) -> Column:
+    """Fold moments, the last one first. Whoever stands below the stage of a
+    moment ends where standing at that stage leads from then on: its digit is
+    overwritten by the next one."""
+    def earlier(path: Column, moment: Column) -> Column:
+        place = (-moment).bitwiseAND(F.lit(DIGIT).cast("bigint"))
+        digit = _shift("shiftleft", F.lit(DIGIT).cast("bigint"), place)
+        return path.bitwiseXOR(path.bitwiseXOR(F.shiftright(path, 4)).bitwiseAND(digit))
+
+    start = _staying(n_stages)
+    only = earlier(start, F.element_at(moments, 1))
+    return F.when(F.size(moments) == 1, only).otherwise(F.aggregate(moments, start, earlier))
+
+
+def _in_order(time: Column) -> Column:
+    """The paths of a group in the order of ``time``, which rides in the upper bits."""
+    return F.sort_array(F.collect_list(time * F.lit(1 << PATH_BITS) + F.col("path")))
+
+
+def _path_in(step: Column) -> Column:
+    return step.bitwiseAND(F.lit((1 << PATH_BITS) - 1))
+
+
 def _compose(steps: str, n_stages: int) -> Column:
-    start = F.array(*[F.lit(stage) for stage in range(n_stages + 1)])
-    return F.aggregate(
-        steps, start,
-        lambda standing, step: F.transform(standing, lambda at: F.element_at(step["after"], at + 1)),
-    )
+    """One path for several, the first one first."""
+    def then(path: Column, step: Column) -> Column:
+        digits = [
+            F.shiftleft(_digit(step, _digit(path, F.lit(stage))), 4 * stage) for stage in range(n_stages + 1)
+        ]
+        return reduce(Column.bitwiseOR, digits)
+
+    only = _path_in(F.element_at(steps, 1))
+    return F.when(F.size(steps) == 1, only).otherwise(F.aggregate(steps, _staying(n_stages), then))
 
 
 def funnel_ordered(paths: DataFrame, n_stages: int, period: str | None = None,
                    agents: DataFrame | None = None, by_period: bool = False) -> DataFrame:
     """Units that passed the stages in time order: ``[dims], stage_no, units``.
 
-    Takes the daily arrays of :func:`stage_paths`; a unit has at most one per
-    day of its history.
+    Takes the daily paths of :func:`stage_paths`; a unit has at most one per day
+    of its history.
     """
     unit = [F.col("agent_id")]
     if period:
         unit.append(_period_start(F.col("day"), period).alias("period"))
+    reached = F.aggregate("steps", F.lit(0).cast("bigint"), lambda at, step: _digit(step, at))
     final = (
         paths.groupBy(*unit)
-        .agg(F.sort_array(F.collect_list(F.struct("day", "after"))).alias("steps"))
-        .withColumn("mask", F.element_at(_compose("steps", n_stages), 1))
+        .agg(_in_order(F.unix_date("day")).alias("steps"))
+        .withColumn("mask", reached)
         .drop("steps")
     )
     return _count_stages(final, n_stages, lambda stage: F.col("mask") >= stage, agents, by_period,
