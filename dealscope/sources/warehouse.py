@@ -188,6 +188,11 @@ def _create(spark: SparkSession, folder: str, name: str, body: str) -> None:
     move(spark, f"{folder}/{draft.getName()}", f"{folder}/{name}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder = _path(spark, path)
+    _system(spark, folder).mkdirs(folder)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file or folder in one step, failing if the target exists."""
     start, end = _path(spark, source), _path(spark, target)

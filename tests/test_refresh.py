@@ -72,7 +72,7 @@ def full(spark, tmp_path_factory):
 def test_streamed_pieces_equal_batches(spark, tmp_path, full):
     """Files land before each of three runs of one stream with one checkpoint."""
     root, landing = f"file://{tmp_path}/w", tmp_path / "landing"
-    folders = {name: f"file://{landing}/{name}" for name in COLUMNS}
+    folders = {name: f"file://{landing}/{name}" for name in (*COLUMNS, "company")}
     for number, batch in enumerate(batches()):
         for name, rows in batch.items():
             refresh.land(frame(spark, name, rows), name, folders[name])
