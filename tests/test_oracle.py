@@ -3,9 +3,10 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from dealscope.plans.catalog import QUERIES
 from tests.compare import assert_same, duck
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +15,7 @@ def connection(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert sorted(oracle_sql()) == NAMES
+    assert set(oracle_sql()) >= set(NAMES)
 
 
 def test_entry(spark):
