@@ -35,8 +35,10 @@ from dealscope.llm.tables import kept
 BAND_RATIO = 1.5
 #: Rows of the index that one expected meeting of unrelated documents is worth.
 MEETING_COST = 20.0
-#: Further pivots of each round, as a multiple of those before.
-PIVOT_GROWTH = 4
+#: Documents of an index entry that are compared with each other in one go.
+BLOCK = 512
+#: Pairs that an entry may first propose for two components, and the growth of that from round to round.
+FIRST_PAIRS, MORE_PAIRS = 4, 16
 
 
 class Plan(NamedTuple):
@@ -122,20 +124,59 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """Whether an odd number of shingles fell on each of at least as many bits as there are shingles."""
-    bits = 1 << max(6, (max(1, len(shingles)) - 1).bit_length())
+    """Whether an odd number of shingles fell on each of at least four times as many bits as there are shingles."""
+    bits = 1 << max(8, (4 * max(1, len(shingles)) - 1).bit_length())
     places = (words.mix(shingles, 3) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """Parity bits as ``size`` 64-bit words, as if fewer bits had been taken."""
+    out = np.frombuffer(bits, np.uint64)
+    while len(out) > size:
+        out = out[:len(out) // 2] ^ out[len(out) // 2:]
+    return out
+
+
 def differing_bits(left: bytes, right: bytes) -> int:
     """A lower bound of the number of shingles in just one of two sets."""
-    a, b = np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)
-    while len(a) != len(b):
-        if len(a) < len(b):
-            a, b = b, a
-        a = a[:len(a) // 2] ^ a[len(a) // 2:]
-    return int(np.bitwise_count(a ^ b).sum())
+    size = min(len(left), len(right)) // 8
+    return int(np.bitwise_count(folded(left, size) ^ folded(right, size)).sum())
+
+
+def close_pairs(sizes: np.ndarray, bits: list[bytes], components: np.ndarray, blocks: np.ndarray, percent: int,
+                limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of places that may be similar, of different components and, if there are two, of different blocks.
+
+    Of each two components the ``limit`` pairs with the fewest differing bits; the
+    third array tells whether that left any out.
+    """
+    size = min(len(b) for b in bits) // 8
+    table = np.stack([folded(b, size) for b in bits])
+    two = blocks.min() != blocks.max()
+    found = []
+    for a in range(1, len(sizes)):
+        fits = (components[:a] != components[a]) & (sizes[:a] * 100 >= sizes[a] * percent) & (
+            sizes[a] * 100 >= sizes[:a] * percent)
+        if two:
+            fits &= blocks[:a] != blocks[a]
+        b = np.flatnonzero(fits)
+        differing = np.bitwise_count(table[b] ^ table[a]).sum(axis=1, dtype=np.int64)
+        near = differing * (100 + percent) <= (sizes[b] + sizes[a]) * (100 - percent)
+        if near.any():
+            found.append(np.stack([np.full(near.sum(), a), b[near], differing[near]]))
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(bool)
+    a, b, differing = np.concatenate(found, axis=1)
+    low, high = np.minimum(components[a], components[b]), np.maximum(components[a], components[b])
+    order = np.lexsort((differing, high, low))
+    new = np.concatenate([[True], (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)])
+    first = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    count = np.diff(np.append(first, len(order)))
+    chosen = np.arange(len(order)) - first[group] < limit
+    return a[order][chosen], b[order][chosen], (count[group] > limit)[chosen]
 
 
 def _sets(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -230,11 +271,12 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
     """``x, p``: edges between different documents that connect just those that similar pairs connect.
 
     Equal sets hang from the smallest document of their class. Of the others the
-    first document of each index entry is its pivot and is compared with all
-    that share the entry. Entries whose documents are then in different
-    components get more pivots, PIVOT_GROWTH times as many in each round, until
-    no entry is left; documents already connected are not compared. So a group of
-    thousands of near copies costs a row per copy and entry, and no pair is lost.
+    first document of each index entry is compared with all that share the entry,
+    which connects most groups of near copies at a row per copy and entry. Entries
+    whose documents are then in several components are searched for close pairs
+    across them, block by block and by parity bits, inside the tasks; the pairs that
+    come up are checked exactly. Of two components a few pairs come up at first, and
+    more in further rounds as long as any were held back and the two are still apart.
     """
     known = prints.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = known.groupBy("key_a", "key_b", "n_shingles").agg(F.min("doc_id").alias("p"))
@@ -255,42 +297,76 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
     edges = copies.where("x <> p")
     if not pairs.isEmpty():
         edges = kept(edges.union(verifier.similar(pairs)), "edges")
-    done, to = 1, 1 + PIVOT_GROWTH
-    left = entries.select("sig", "doc_id")
+    entries = kept(entries.select("sig", "doc_id").join(heads, "doc_id", "left_semi").distinct(), "entries")
+    limit = FIRST_PAIRS
     while True:
-        left = _unsettled(left, edges, heads, done)
-        if left is None:
-            return edges
-        pivots = left.where((F.col("place") > done) & (F.col("place") <= to)).select(
-            "sig", F.col("doc_id").alias("p"), F.col("place").alias("p_place"), F.col("component").alias("p_component"))
-        pairs = left.join(pivots, "sig").where("place > p_place AND component <> p_component").select(
-            F.greatest("doc_id", "p").alias("x"), F.least("doc_id", "p").alias("p")).distinct()
-        pairs = kept(_near(pairs, prints, percent), "pairs")
+        found = kept(_close(_unsettled(entries, edges), prints, percent, limit), "close")
+        pairs = found.select("x", "p").distinct()
         if not pairs.isEmpty():
             edges = kept(edges.union(verifier.similar(pairs)), "edges")
-        left = left.select("sig", "doc_id", "place")
-        done, to = to, to * PIVOT_GROWTH
+        if found.where("more").isEmpty():
+            return edges
+        limit *= MORE_PAIRS
 
 
-def _unsettled(entries: DataFrame, edges: DataFrame, heads: DataFrame, done: int) -> DataFrame | None:
-    """Entries that hold several components and documents beyond the ``done`` pivots; None if there are none.
+def _unsettled(entries: DataFrame, edges: DataFrame) -> DataFrame:
+    """``sig, doc_id, component, place, last``: entries of three documents or more in several components.
 
-    ``place`` is a document's place in its entry among the heads, from 1, given once.
+    Of entries with the same documents one is left.
     """
     labels = components(edges, "x", "p").select(F.col("node").alias("doc_id"), "component")
-    labelled = entries.join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    together = Window.partitionBy("sig")
-    if "place" not in entries.columns:
-        first = entries.join(labels, "doc_id", "left").groupBy("sig").agg(
-            F.min(F.coalesce("component", "doc_id")).alias("a"), F.max(F.coalesce("component", "doc_id")).alias("b"))
-        open_ = first.where("a < b").select("sig")
-        labelled = labelled.join(open_, "sig", "left_semi").join(heads, "doc_id", "left_semi").distinct()
-        labelled = labelled.withColumn("place", F.row_number().over(together.orderBy("doc_id")))
-    mixed = labelled.withColumns({
-        "_a": F.min("component").over(together), "_b": F.max("component").over(together),
-        "_last": F.max("place").over(together)})
-    left = kept(mixed.where((F.col("_a") < F.col("_b")) & (F.col("_last") > done + 1)).drop("_a", "_b", "_last"), "open")
-    return None if left.isEmpty() else left
+    rows = entries.join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    rows = kept(rows, "labelled")
+    groups = rows.groupBy("sig").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("last"),
+        F.min("doc_id").alias("c"), F.max("doc_id").alias("d"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("e"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("f")
+    ).where("a < b AND last > 2").groupBy("last", "c", "d", "e", "f").agg(F.min("sig").alias("sig"))
+    order = Window.partitionBy("sig").orderBy("doc_id")
+    return rows.join(groups.select("sig", "last"), "sig").withColumn("place", F.row_number().over(order) - 1)
+
+
+def _close(rows: DataFrame, prints: DataFrame, percent: int, limit: int) -> DataFrame:
+    """``x, p, more``: what ``close_pairs`` finds in each entry, by pairs of blocks of BLOCK documents."""
+    block = F.floor(F.col("place") / BLOCK).cast("int")
+    blocks = F.floor((F.col("last") - 1) / BLOCK).cast("int")
+    rows = rows.join(prints, "doc_id").select(
+        "sig", "doc_id", "component", "n_shingles", "bits", block.alias("block"),
+        F.explode(F.sequence(F.lit(0), blocks)).alias("other"))
+    rows = rows.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                       "block", "doc_id", "component", "n_shingles", "bits")
+    rows = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "doc_id")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            sig, i, j, block, ids, component, sizes = (np.asarray(batch.column(c)) for c in range(7))
+            bits = batch.column(7).to_pylist()
+            new = (np.diff(sig) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
+            bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(sig)]
+            for a, b in zip(bounds, bounds[1:]):
+                x, p, more = close_pairs(sizes[a:b], bits[a:b], component[a:b], block[a:b], percent, limit)
+                if len(x):
+                    x, p = ids[a:b][x], ids[a:b][p]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, p)), pa.array(np.minimum(x, p)),
+                                                      pa.array(more)], ["x", "p", "more"])
+
+        # The last group of a batch may go on in the next one: it waits.
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
+            sig, i, j = (np.asarray(table.column(c)) for c in range(3))
+            same = (sig == sig[-1]) & (i == i[-1]) & (j == j[-1])
+            start = int(np.argmax(same))
+            if start:
+                yield from pairs(table.slice(0, start))
+            held = [table.slice(start)]
+        for batch in held:
+            yield from pairs(batch)
+
+    return rows.mapInArrow(search, "x long, p long, more boolean")
 
 
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
