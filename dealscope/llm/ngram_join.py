@@ -34,7 +34,7 @@ from dealscope.llm.tables import kept
 
 BAND_RATIO = 1.5
 #: Rows of the index that one expected meeting of unrelated documents is worth.
-MEETING_COST = 20.0
+MEETING_COST = 8.0
 #: Documents of an index entry that are compared with each other in one go.
 BLOCK = 512
 #: Pairs that an entry may first propose for two components, and the growth of that from round to round.
@@ -285,8 +285,9 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
     heads = copies.select(F.col("p").alias("doc_id")).distinct()
     together = Window.partitionBy("sig")
     entries = index_rows(docs, length, percent).select(
-        "sig", "doc_id", F.min("doc_id").over(together).alias("pivot"), F.max("doc_id").over(together).alias("last")
-    ).where("pivot < last").select("sig", "doc_id", "pivot")
+        "doc_id", F.min("doc_id").over(together).alias("pivot"), F.max("doc_id").over(together).alias("last"),
+        F.count(F.lit(1)).over(together).alias("many"), F.bit_xor(F.xxhash64("doc_id")).over(together).alias("entry")
+    ).where("pivot < last").drop("last")
     entries = kept(entries, "entries")
     prints = kept(known.join(heads, "doc_id", "left_semi").select("doc_id", "n_shingles", "bits"), "heads")
     verifier = _Verifier(docs, length, percent)
@@ -297,10 +298,11 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
     edges = copies.where("x <> p")
     if not pairs.isEmpty():
         edges = kept(edges.union(verifier.similar(pairs)), "edges")
-    entries = kept(entries.select("sig", "doc_id").join(heads, "doc_id", "left_semi").distinct(), "entries")
+    # Entries with the same documents are one from here on; those of two documents are settled.
+    entries = kept(entries.where("many > 2").select("entry", "doc_id").distinct(), "groups")
     limit = FIRST_PAIRS
     while True:
-        found = kept(_close(_unsettled(entries, edges), prints, percent, limit), "close")
+        found = kept(_close(_unsettled(entries, heads, edges), prints, percent, limit), "close")
         pairs = found.select("x", "p").distinct()
         if not pairs.isEmpty():
             edges = kept(edges.union(verifier.similar(pairs)), "edges")
@@ -309,21 +311,16 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
         limit *= MORE_PAIRS
 
 
-def _unsettled(entries: DataFrame, edges: DataFrame) -> DataFrame:
-    """``sig, doc_id, component, place, last``: entries of three documents or more in several components.
-
-    Of entries with the same documents one is left.
-    """
+def _unsettled(entries: DataFrame, heads: DataFrame, edges: DataFrame) -> DataFrame:
+    """``entry, doc_id, component, place, last``: the heads of entries with three or more, in several components."""
     labels = components(edges, "x", "p").select(F.col("node").alias("doc_id"), "component")
-    rows = entries.join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    rows = kept(rows, "labelled")
-    groups = rows.groupBy("sig").agg(
-        F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("last"),
-        F.min("doc_id").alias("c"), F.max("doc_id").alias("d"),
-        F.bit_xor(F.xxhash64("doc_id")).alias("e"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("f")
-    ).where("a < b AND last > 2").groupBy("last", "c", "d", "e", "f").agg(F.min("sig").alias("sig"))
-    order = Window.partitionBy("sig").orderBy("doc_id")
-    return rows.join(groups.select("sig", "last"), "sig").withColumn("place", F.row_number().over(order) - 1)
+    state = heads.join(labels, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
+    rows = kept(entries.join(state, "doc_id"), "labelled")
+    groups = rows.groupBy("entry").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("last")
+    ).where("a < b AND last > 2").select("entry", "last")
+    order = Window.partitionBy("entry").orderBy("doc_id")
+    return rows.join(groups, "entry").withColumn("place", F.row_number().over(order) - 1)
 
 
 def _close(rows: DataFrame, prints: DataFrame, percent: int, limit: int) -> DataFrame:
@@ -331,20 +328,20 @@ def _close(rows: DataFrame, prints: DataFrame, percent: int, limit: int) -> Data
     block = F.floor(F.col("place") / BLOCK).cast("int")
     blocks = F.floor((F.col("last") - 1) / BLOCK).cast("int")
     rows = rows.join(prints, "doc_id").select(
-        "sig", "doc_id", "component", "n_shingles", "bits", block.alias("block"),
+        "entry", "doc_id", "component", "n_shingles", "bits", block.alias("block"),
         F.explode(F.sequence(F.lit(0), blocks)).alias("other"))
-    rows = rows.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+    rows = rows.select("entry", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                        "block", "doc_id", "component", "n_shingles", "bits")
-    rows = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "doc_id")
+    rows = rows.repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j", "doc_id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            sig, i, j, block, ids, component, sizes = (np.asarray(batch.column(c)) for c in range(7))
+            entry, i, j, block, ids, component, sizes = (np.asarray(batch.column(c)) for c in range(7))
             bits = batch.column(7).to_pylist()
-            new = (np.diff(sig) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
-            bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(sig)]
+            new = (np.diff(entry) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
+            bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(entry)]
             for a, b in zip(bounds, bounds[1:]):
                 x, p, more = close_pairs(sizes[a:b], bits[a:b], component[a:b], block[a:b], percent, limit)
                 if len(x):
@@ -357,8 +354,8 @@ def _close(rows: DataFrame, prints: DataFrame, percent: int, limit: int) -> Data
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
-            sig, i, j = (np.asarray(table.column(c)) for c in range(3))
-            same = (sig == sig[-1]) & (i == i[-1]) & (j == j[-1])
+            entry, i, j = (np.asarray(table.column(c)) for c in range(3))
+            same = (entry == entry[-1]) & (i == i[-1]) & (j == j[-1])
             start = int(np.argmax(same))
             if start:
                 yield from pairs(table.slice(0, start))

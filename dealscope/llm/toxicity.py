@@ -211,8 +211,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) ->
     chance = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     chosen = label.where(chance < share)
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    # The chosen ids are bounded by ``most``, so they go to the texts rather than the texts to them.
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang")).join(
-        chosen, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic", "lang")
+        F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic", "lang")
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:
