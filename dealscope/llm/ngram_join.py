@@ -192,7 +192,8 @@ def _long(values) -> pa.Array:
 
 
 def fingerprints(docs: DataFrame, length: int) -> DataFrame:
-    """``doc_id, n_shingles, key_a, key_b, bits``: the size, a 128-bit hash and the parity bits of each set."""
+    """``doc_id, n_shingles, key_a, key_b, bits, brief``: the size, a 128-bit hash and the parity bits of each
+    set, and a quarter as many."""
     def rows(batches):
         for piece, sets in _sets(batches, length):
             yield pa.RecordBatch.from_arrays([
@@ -200,10 +201,11 @@ def fingerprints(docs: DataFrame, length: int) -> DataFrame:
                 pa.array([len(s) for s in sets], pa.int64()),
                 _long([words.mix(s, 1).sum(dtype=np.uint64) for s in sets]),
                 _long([words.mix(s, 2).sum(dtype=np.uint64) for s in sets]),
-                pa.array([parity(s) for s in sets], pa.binary()),
-            ], ["doc_id", "n_shingles", "key_a", "key_b", "bits"])
+                pa.array(bits := [parity(s) for s in sets], pa.binary()),
+                pa.array([folded(b, len(b) // 32).tobytes() for b in bits], pa.binary()),
+            ], ["doc_id", "n_shingles", "key_a", "key_b", "bits", "brief"])
     return docs.select("doc_id", "text").mapInArrow(
-        rows, "doc_id long, n_shingles long, key_a long, key_b long, bits binary")
+        rows, "doc_id long, n_shingles long, key_a long, key_b long, bits binary, brief binary")
 
 
 def index_rows(docs: DataFrame, length: int, percent: int) -> DataFrame:
@@ -229,10 +231,10 @@ def shingle_arrays(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _near(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes and parity bits leave similarity possible."""
+    """Pairs whose sizes and brief parity bits leave similarity possible."""
     def side(name: str) -> DataFrame:
         return prints.select(F.col("doc_id").alias(name), F.col("n_shingles").alias(f"{name}_n"),
-                             F.col("bits").alias(f"{name}_bits"))
+                             F.col("brief").alias(f"{name}_bits"))
 
     def rows(batches):
         for batch in batches:
@@ -289,7 +291,7 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
         F.count(F.lit(1)).over(together).alias("many"), F.bit_xor(F.xxhash64("doc_id")).over(together).alias("entry")
     ).where("pivot < last").drop("last")
     entries = kept(entries, "entries")
-    prints = kept(known.join(heads, "doc_id", "left_semi").select("doc_id", "n_shingles", "bits"), "heads")
+    prints = kept(known.join(heads, "doc_id", "left_semi").select("doc_id", "n_shingles", "bits", "brief"), "heads")
     verifier = _Verifier(docs, length, percent)
 
     # Documents that are no heads have no prints here and fall out in the join.

@@ -9,7 +9,6 @@ hash of any run in constant time. A final mix spreads them over 64 bits.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -53,18 +52,19 @@ def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
     return x
 
 
-@cache
-def _power_table(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    def table(factor: int) -> np.ndarray:
-        out = np.full(1 << bits, factor, np.uint64)
-        out[0] = 1
-        return np.cumprod(out)
-    return table(base), table(pow(base, -1, 2**64))
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: np.uint64, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least ``count`` powers of ``base``, and of its inverse modulo 2^64."""
-    return _power_table(int(base), max(16, int(count).bit_length()))
+    """At least ``count`` powers of ``base``, and of its inverse modulo 2^64; one table a base, as long as needed."""
+    base = int(base)
+    if base not in _POWERS or len(_POWERS[base][0]) < count:
+        def table(factor: int) -> np.ndarray:
+            out = np.full(max(1 << 16, count + count // 8), factor, np.uint64)
+            out[0] = 1
+            return np.cumprod(out, out=out)
+        _POWERS[base] = table(base), table(pow(base, -1, 2**64))
+    return _POWERS[base]
 
 
 def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
