@@ -55,7 +55,12 @@ class PagedReader(DataSourceReader):
 
     def read(self, partition: Page) -> Iterator[tuple]:
         url = self.url.replace("{page}", str(partition.number)).replace("{period}", partition.period)
-        for item in self._load(url).get(self.items) or []:
+        reply = self._load(url)
+        if self.items not in reply:
+            raise ValueError(f"{url} has no {self.items!r}: {json.dumps(reply)[:200]}")
+        if partition.number == self.first + self.pages - 1 and reply.get("next"):
+            raise ValueError(f"{url} is the last page asked for, but the source has more; raise pages")
+        for item in reply[self.items] or []:
             yield tuple(_cell(item.get(name)) for name in self.names)
 
     def _load(self, url: str) -> dict:

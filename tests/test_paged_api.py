@@ -66,3 +66,17 @@ def test_a_page_that_keeps_failing_fails_the_read():
     source = reader(fetch, attempts="2")
     with pytest.raises(urllib.error.URLError):
         list(source.read(source.partitions()[1]))
+
+
+def test_error_body_is_no_empty_page():
+    from dealscope.sources.paged_api import Page
+    with pytest.raises(ValueError, match="quota"):
+        list(reader(lambda url: {"error": "quota"}).read(Page(1, "")))
+
+
+def test_more_pages_than_asked_for():
+    from dealscope.sources.paged_api import Page
+    pages = reader(lambda url: {"items": [], "next": "u?3"})
+    assert list(pages.read(Page(1, ""))) == []
+    with pytest.raises(ValueError, match="has more"):
+        list(pages.read(Page(2, "")))
