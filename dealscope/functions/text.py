@@ -41,9 +41,12 @@ def digits(cell: Column) -> Column:
 
 
 def parse_decimal(cell: Column, precision: int = 18, scale: int = 2) -> Column:
-    """``'1 234,50'`` or ``'1234.5'`` to a decimal, from a cleaned cell."""
-    wanted = f"decimal({precision},{scale})"
-    return F.coalesce(cell.try_cast(wanted), F.translate(cell, ", ", ".").try_cast(wanted))
+    """``'1 234,50'`` or ``'1234.5'`` to a decimal, from a cleaned cell; NULL for one with
+    more decimals than fit, as rounding would change an amount without a trace."""
+    wide = f"decimal(38,{38 - precision + scale})"
+    read = F.coalesce(cell.try_cast(wide), F.translate(cell, ", ", ".").try_cast(wide))
+    fitted = read.try_cast(f"decimal({precision},{scale})")
+    return F.when(fitted == read, fitted)
 
 
 def parse_timestamp(cell: Column) -> Column:

@@ -45,6 +45,11 @@ def stage_number(code: Column, stages: Sequence[str]) -> Column:
     return _by_stage(code, stages, range(1, len(stages) + 1))
 
 
+def stage_mark(code: Column, stages: Sequence[str]) -> Column:
+    """The bit of a stage code in a mask."""
+    return _by_stage(code, stages, [1 << place for place in range(len(stages))])
+
+
 def _by_stage(code: Column, stages: Sequence[str], values: Iterable[int]) -> Column:
     """The value given for each stage. The list is configuration, so it becomes
     part of the expression and needs no join."""
@@ -60,7 +65,7 @@ def stage_marks(events: DataFrame, stages: Sequence[str]) -> DataFrame:
     return kept.select(
         "agent_id",
         F.col("ts").cast("date").alias("day"),
-        _by_stage(F.col("stage_code"), stages, [1 << place for place in range(len(stages))]).alias("mask"),
+        stage_mark(F.col("stage_code"), stages).alias("mask"),
     )
 
 

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.operators.facts import attribute, stage_number
+from dealscope.operators.facts import attribute, stage_mark, stage_number
 
 
 # A digit of a path, and how many stages leave room for the time
@@ -87,8 +87,9 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def stage_paths(events: DataFrame, stages: Sequence[str], *extra: str) -> DataFrame:
-    """What one day does to an agent's progress: ``agent_id, day, path``.
+def stage_paths(events: DataFrame, stages: Sequence[str], *extra: str, masks: bool = False) -> DataFrame:
+    """What one day does to an agent's progress: ``agent_id, day, path``, with
+    ``masks`` also the day's ``mask`` of :func:`facts.roll_up_marks`.
 
     A path says, for every stage an agent may stand at in the morning, where
     they stand in the evening, moving up whenever the next stage occurs at the
@@ -113,14 +114,16 @@ def stage_paths(events: DataFrame, stages: Sequence[str], *extra: str) -> DataFr
     moment = -(F.unix_micros(ts) * (DIGIT + 1) + place)
     day = F.col("second").cast("date")
     since_midnight = F.unix_seconds("second") - F.unix_seconds(day.cast("timestamp"))
+    bit = stage_mark(F.col("stage_code"), stages)
+    mask = ["mask"] if masks else []
     return (
         events.where(F.col("stage_code").isin(list(stages)) & F.col("ts").isNotNull())
         .groupBy(*extra, "agent_id", F.date_trunc("second", ts).alias("second"))
-        .agg(F.sort_array(F.collect_set(moment)).alias("moments"))
-        .select(*extra, "agent_id", "second", _path_of("moments", len(stages)).alias("path"))
+        .agg(F.sort_array(F.collect_set(moment)).alias("moments"), *([F.bit_or(bit).alias("mask")] if masks else []))
+        .select(*extra, "agent_id", "second", _path_of("moments", len(stages)).alias("path"), *mask)
         .groupBy(*extra, "agent_id", day.alias("day"))
-        .agg(_in_order(since_midnight).alias("steps"))
-        .select(*extra, "agent_id", "day", _compose("steps", len(stages)).alias("path"))
+        .agg(_in_order(since_midnight).alias("steps"), *([F.bit_or("mask").alias("mask")] if masks else []))
+        .select(*extra, "agent_id", "day", *mask, _compose("steps", len(stages)).alias("path"))
     )
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,12 +23,14 @@ def latest_by(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return rows.withColumn("_place", F.row_number().over(best_first)).where("_place = 1").drop("_place")
 
 
-def incremental(rows: DataFrame, cursor: str, last_seen: Column | object | None) -> DataFrame:
-    """Rows at or after the last cursor value seen.
+def incremental(rows: DataFrame, cursor: str, last_seen: datetime | None,
+                overlap: timedelta = timedelta(0)) -> DataFrame:
+    """Rows at or after the last cursor value seen, less ``overlap``, and rows without a cursor.
 
     ``>=``, not ``>``: rows that share the boundary value may have arrived after
-    the previous load. The copies this reads again fall to :func:`latest_by`.
+    the previous load, and ``overlap`` reads back over rows that were committed
+    late under an older stamp. The copies this reads again fall to :func:`latest_by`.
     """
     if last_seen is None:
         return rows
-    return rows.where(F.col(cursor) >= last_seen)
+    return rows.where((F.col(cursor) >= last_seen - overlap) | F.col(cursor).isNull())

@@ -68,16 +68,20 @@ def tag(rows: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tagged)
 
 
-def run_cycle(spark: SparkSession, root: str, batch_id: int, tagged: DataFrame, settings: Settings) -> None:
+def run_cycle(spark: SparkSession, root: str, source_batch: int, tagged: DataFrame, settings: Settings,
+              source: str = "") -> None:
     """Take in one batch of tagged rows and bring every table up to date with it.
 
+    ``source`` names the query whose batch ``source_batch`` this is.
+
     All tables become visible together. A cycle that fails leaves nothing
     visible and can be run again under the same number; one that is already
     visible is left alone.
     """
-    done, tables = warehouse.committed(spark, root)
-    if batch_id <= done:
+    batch_id = warehouse.next_batch(spark, root, source, source_batch)
+    if batch_id is None:
         return
+    tables = warehouse.committed(spark, root)[1]
     changed: Tables = {}
 
     def advance(step: Callable[..., Tables], *args) -> None:
@@ -88,7 +92,8 @@ def run_cycle(spark: SparkSession, root: str, batch_id: int, tagged: DataFrame,
     advance(load_staging, entities)
     advance(load_condensed)
     advance(load_marts)
-    warehouse.publish(spark, root, batch_id, changed, marks_of(spark, root, batch_id, entities))
+    warehouse.publish(spark, root, batch_id, changed, marks_of(spark, root, batch_id, entities),
+                      (source, source_batch))
 
 
 def marks_of(spark: SparkSession, root: str, batch_id: int, entities: Sequence[str]) -> dict[str, str]:
@@ -159,8 +164,9 @@ def load_condensed(spark: SparkSession, root: str, batch_id: int, changed: Table
     def condense(source: str, table: str, to_facts: Callable[[DataFrame, Settings], DataFrame]) -> Tables:
         rows = warehouse.read_table(spark, root, source, list(changed[source]), now)
         warehouse.write_snapshot(to_facts(rows, settings), root, table, batch_id, block="block")
-        # A block without a single stage event has no folder.
-        return {table: {b: batch_id for b in warehouse.written_blocks(spark, root, table, batch_id)}}
+        # A block without a single stage event has no folder; what it held before is gone.
+        emptied = {b: warehouse.EMPTY for b in changed[source] if b in now.get(table, {})}
+        return {table: {**emptied, **{b: batch_id for b in warehouse.written_blocks(spark, root, table, batch_id)}}}
 
     plan = (("staging/deal", "fact/agent_day", _agent_day),
             ("staging/event", "fact/agent_stage_day", _agent_stage_day))
@@ -174,10 +180,10 @@ def _agent_day(deals: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _agent_stage_day(events: DataFrame, settings: Settings) -> DataFrame:
-    """Stages touched and the path through them, per agent and day."""
-    marks = facts.roll_up_marks(facts.stage_marks(events, settings.stages))
-    paths = funnel.stage_paths(events, settings.stages)
-    return marks.join(paths, ["agent_id", "day"]).withColumn("block", F.col("day").cast("string"))
+    """Stages touched and the path through them, per agent and day, in one pass.
+    Events without an agent make up a row like any other, as in the operators."""
+    paths = funnel.stage_paths(events, settings.stages, masks=True)
+    return paths.withColumn("block", F.col("day").cast("string"))
 
 
 def load_marts(spark: SparkSession, root: str, batch_id: int, changed: Tables, now: Tables,

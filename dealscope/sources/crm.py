@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,8 @@ class CrmTable:
     cursor: str | None = None
     num_chunks: int = 8
     properties: dict[str, str] = field(default_factory=dict)
+    # How far back of the last cursor value a load reads, for rows committed late.
+    overlap: timedelta = timedelta(0)
 
 
 def read_crm(spark: SparkSession, source: CrmTable, since: datetime | None = None) -> DataFrame:
@@ -36,6 +38,8 @@ def read_crm(spark: SparkSession, source: CrmTable, since: datetime | None = Non
     that range, so an increment at the end of the table still uses all of them.
     The cursor filter and the column list are pushed to the database.
     """
+    if since is not None:
+        since -= source.overlap
     query = bounds_query(source.table, source.key, source.cursor, since)
     bounds = _reader(spark, source).option("query", query).load().first()
     low, high = (bounds[0], bounds[1]) if bounds else (None, None)
@@ -51,7 +55,7 @@ def read_crm(spark: SparkSession, source: CrmTable, since: datetime | None = Non
 def bounds_query(table: str, key: str, cursor: str | None, since: datetime | None) -> str:
     query = f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}"
     if cursor and since is not None:
-        query += f" WHERE {cursor} >= '{since:%Y-%m-%d %H:%M:%S.%f}'"
+        query += f" WHERE {cursor} >= '{since:%Y-%m-%d %H:%M:%S.%f}' OR {cursor} IS NULL"
     return query
 
 

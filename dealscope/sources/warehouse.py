@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 # The one block of a table that is always written whole.
 WHOLE = ""
+# In place of a batch: the block has no rows any more.
+EMPTY = -1
 
 Tables = dict[str, dict[str, int]]
 
@@ -31,10 +33,11 @@ def write_snapshot(rows: DataFrame, root: str, table: str, batch_id: int, block:
 
 
 def publish(spark: SparkSession, root: str, batch_id: int, changed: Tables,
-            cursors: dict[str, str] | None = None) -> None:
+            cursors: dict[str, str] | None = None, source: tuple[str, int] | None = None) -> None:
     """Make a batch visible. Tables and blocks not in ``changed`` keep their state.
 
-    ``cursors`` are the high-water marks reached, one per entity. Publishing a
+    ``cursors`` are the high-water marks reached, one per entity; ``source`` is
+    the query the batch came from and its own number there. Publishing a
     batch that is already visible does nothing: a replayed cycle wrote the same
     rows.
     """
@@ -47,17 +50,36 @@ def publish(spark: SparkSession, root: str, batch_id: int, changed: Tables,
     for table, blocks in changed.items():
         kept = {} if WHOLE in blocks else tables.get(table, {})
         tables[table] = {**kept, **blocks}
-    body = json.dumps({"batch": batch_id, "tables": tables, "cursors": marks}, sort_keys=True)
+    sources = {**record["sources"], **(dict([source]) if source else {})}
+    body = json.dumps({"batch": batch_id, "tables": tables, "cursors": marks, "sources": sources}, sort_keys=True)
     _create(spark, f"{root}/_commits", f"{batch_id:020d}.json", body)
 
 
-def write_atomic(rows: DataFrame, root: str, table: str, batch_id: int) -> None:
-    """Write one table and publish it. A batch that is visible is left alone."""
+def write_atomic(rows: DataFrame, root: str, table: str, batch_id: int, source: str = "") -> None:
+    """Write one table and publish it. A batch of ``source`` that is visible is left alone."""
     spark = rows.sparkSession
-    if batch_id <= committed(spark, root)[0]:
+    number = next_batch(spark, root, source, batch_id)
+    if number is None:
         return
-    write_snapshot(rows, root, table, batch_id)
-    publish(spark, root, batch_id, {table: {WHOLE: batch_id}})
+    write_snapshot(rows, root, table, number)
+    publish(spark, root, number, {table: {WHOLE: number}}, source=(source, batch_id))
+
+
+def next_batch(spark: SparkSession, root: str, source: str, source_batch: int) -> int | None:
+    """The number under which to write a batch of a query; None if it is visible already.
+
+    Queries count from 0 on every new checkpoint, so a number alone doesn't tell
+    a replay from new rows: the record keeps how far each query has come.
+    """
+    record = _last_record(spark, root)
+    if source_batch <= record["sources"].get(source, -1):
+        return None
+    return record["batch"] + 1
+
+
+def query_of(spark: SparkSession) -> str:
+    """The id of the streaming query that runs this micro-batch; it lives in the checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
 
 
 def committed(spark: SparkSession, root: str) -> tuple[int, Tables]:
@@ -75,8 +97,8 @@ def last_seen(spark: SparkSession, root: str, entity: str) -> datetime | None:
 def _last_record(spark: SparkSession, root: str) -> dict:
     names = _record_names(spark, root)
     if not names:
-        return {"batch": -1, "tables": {}, "cursors": {}}
-    return json.loads(_read(spark, f"{root}/_commits/{names[-1]}"))
+        return {"batch": -1, "tables": {}, "cursors": {}, "sources": {}}
+    return {"sources": {}, **json.loads(_read(spark, f"{root}/_commits/{names[-1]}"))}
 
 
 def _record_names(spark: SparkSession, root: str) -> list[str]:
@@ -99,6 +121,7 @@ def read_table(spark: SparkSession, root: str, table: str, blocks: list[str] | N
         tables = committed(spark, root)[1]
     state = tables.get(table, {})
     wanted = state if blocks is None else {b: state[b] for b in blocks if b in state}
+    wanted = {b: n for b, n in wanted.items() if n != EMPTY}
     if not wanted:
         return None
     folders = [_folder(root, table, n) if b == WHOLE else f"{_folder(root, table, n)}/block={b}"
@@ -173,7 +196,13 @@ def _system(spark: SparkSession, path):
 
 
 def _read(spark: SparkSession, path: str) -> str:
-    return "".join(row.value for row in spark.read.text(path, wholetext=True).collect())
+    """A small file, read by the driver itself: a Spark job for each record would make cycles slow."""
+    file = _path(spark, path)
+    stream = _system(spark, file).open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def _create(spark: SparkSession, folder: str, name: str, body: str) -> None:

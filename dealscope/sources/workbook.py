@@ -23,12 +23,14 @@ MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
-def read_workbooks(spark: SparkSession, path: str, sheet: str, columns: dict[str, str]) -> DataFrame:
+def read_workbooks(spark: SparkSession, path: str, sheet: str, columns: dict[str, str],
+                   lenient: bool = False) -> DataFrame:
     """Rows of ``sheet`` in every workbook under ``path``, all cells as text.
 
     ``columns`` maps output names to the headings in the sheet's first filled
     row. ``_path`` and ``_row`` say where a row stands. A file without the sheet
-    gives no rows; a sheet without a heading gives NULL for it.
+    and a sheet without a heading fail the read; if ``lenient``, the one gives no
+    rows and the other NULL.
     """
     names, headings = list(columns), list(columns.values())
     schema = ", ".join(["_path string", "_row bigint", *[f"`{name}` string" for name in names]])
@@ -37,7 +39,7 @@ def read_workbooks(spark: SparkSession, path: str, sheet: str, columns: dict[str
         for pdf in files:
             for path, content in zip(pdf["path"], pdf["content"]):
                 batch = []
-                for number, cells in sheet_records(content, sheet, headings):
+                for number, cells in sheet_records(content, sheet, headings, lenient):
                     batch.append((path, number, *cells))
                     if len(batch) == BATCH_ROWS:
                         yield pd.DataFrame(batch, columns=["_path", "_row", *names])
@@ -49,11 +51,14 @@ def read_workbooks(spark: SparkSession, path: str, sheet: str, columns: dict[str
     return files.select("path", "content").mapInPandas(parse, schema)
 
 
-def sheet_records(content: bytes, sheet: str, headings: Sequence[str]) -> Iterator[tuple[int, list[str | None]]]:
+def sheet_records(content: bytes, sheet: str, headings: Sequence[str],
+                  lenient: bool = False) -> Iterator[tuple[int, list[str | None]]]:
     """Row number and the cells under ``headings`` for each filled row below them."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         member = _sheet_member(book, sheet)
         if member is None:
+            if not lenient:
+                raise ValueError(f"no sheet {sheet!r}")
             return
         shared = _shared_strings(book)
         places: dict[str, int] | None = None
@@ -63,6 +68,9 @@ def sheet_records(content: bytes, sheet: str, headings: Sequence[str]) -> Iterat
                     continue
                 if places is None:
                     places = {value.strip(): column for column, value in cells.items()}
+                    missing = [heading for heading in headings if heading not in places]
+                    if missing and not lenient:
+                        raise ValueError(f"sheet {sheet!r} has no headings {missing}")
                     continue
                 yield number, [cells.get(places.get(heading, -1)) for heading in headings]
 

@@ -16,13 +16,14 @@ def daily_counts(events: DataFrame, stages: tuple[str, ...], lateness: str) -> D
     """``day, stage_no, events`` of a stream with ``event_id, ts, stage_code``.
 
     An event delivered again within ``lateness`` counts once, an event later
-    than that is not counted. Both the ids remembered and the open days are
+    than that is not counted. Nor is one without an id, as in staging: it can't
+    be told from its copies. Both the ids remembered and the open days are
     bounded by the watermark. Days are those of the session's time zone: Spark's
     windows start at midnight UTC, so the time is moved there and back.
     """
     zone = F.current_timezone()
     return (
-        events.where(F.col("stage_code").isin(list(stages)))
+        events.where(F.col("stage_code").isin(list(stages)) & F.col("event_id").isNotNull())
         .withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), zone))
         .withWatermark("ts", lateness)
         .dropDuplicatesWithinWatermark(["event_id"])
@@ -49,7 +50,7 @@ def run_daily(counts: DataFrame, root: str, checkpoint: str, trigger: dict) -> N
         if before is not None:
             rows = rows.unionByName(before.withColumn("age", F.lit(0)))
         rows = latest_by(rows, ["day", "stage_no"], ["age"]).drop("age")
-        warehouse.write_atomic(rows, root, TABLE, batch_id)
+        warehouse.write_atomic(rows, root, TABLE, batch_id, warehouse.query_of(spark))
 
     query = (
         counts.writeStream.outputMode("update").trigger(**trigger)

@@ -1,8 +1,9 @@
 """The periodic refresh: one streaming query over all feeds.
 
 Spark's trigger is the timer and its checkpoint the incremental cursor. Each
-micro-batch is one cycle of the layers under the micro-batch's own number, so a
-batch that is run again after a failure replaces itself.
+micro-batch is one cycle of the layers. The commit record keeps the query's id and
+the micro-batch's number, so a batch that is run again after a failure replaces
+itself, and a new checkpoint, which counts from 0 again, loses nothing.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ def refresh(spark: SparkSession, streams: dict[str, DataFrame], root: str, check
     The files of the last ``keep`` cycles stay for readers that began on them.
     """
     def cycle(rows: DataFrame, batch_id: int) -> None:
-        run_cycle(rows.sparkSession, root, batch_id, rows, settings)
+        run_cycle(rows.sparkSession, root, batch_id, rows, settings, warehouse.query_of(rows.sparkSession))
         warehouse.expire(rows.sparkSession, root, keep)
 
     query = (

@@ -23,7 +23,7 @@ def test_small_or_empty_ranges():
 def test_bounds_only_look_at_the_increment():
     assert crm.bounds_query("deal", "id", None, None) == "SELECT MIN(id) AS low, MAX(id) AS high FROM deal"
     assert crm.bounds_query("deal", "id", "updated_at", datetime(2024, 1, 2, 3, 4, 5)).endswith(
-        "FROM deal WHERE updated_at >= '2024-01-02 03:04:05.000000'")
+        "FROM deal WHERE updated_at >= '2024-01-02 03:04:05.000000' OR updated_at IS NULL")
 
 
 class Recorder:

@@ -15,7 +15,7 @@ T0 = datetime(2024, 1, 10, 12)
 def test_repeats_and_late_events(spark, tmp_path):
     landing, root = tmp_path / "landing", f"file://{tmp_path}/w"
     deliveries = [
-        [(1, T0, "a"), (2, T0, "b"), (3, T0, "x"), (1, T0, "a")],
+        [(1, T0, "a"), (2, T0, "b"), (3, T0, "x"), (1, T0, "a"), (None, T0, "a"), (None, T0, "b")],
         [(1, T0, "a"), (4, T0 + timedelta(days=5), "a")],
         # Late by less than the watermark, then too late to count.
         [(5, T0 + timedelta(days=4), "b"), (6, T0 - timedelta(days=3), "b"), (4, T0 + timedelta(days=5), "a")],

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from dealscope.operators import facts, funnel
 from dealscope.plans import layers
 from dealscope.schemas import AGENT, DEAL, EVENT
 from dealscope.sources import warehouse
@@ -127,3 +128,43 @@ def test_refused_cells_and_untouched_blocks(spark, tmp_path):
     assert tables["mart/rating_agent"] == {"": 1} and tables["mart/funnel_ordered"] == {"": 0}
     refused = [tuple(r) for r in layers.rejected(spark, root, DEAL).where("column = 'amount'").collect()]
     assert refused == [(0, "amount", "oops")]
+
+
+def test_a_new_checkpoint_on_an_old_warehouse_loses_nothing(spark, tmp_path):
+    root, folders = f"file://{tmp_path}/w", {"agent": f"file://{tmp_path}/agent"}
+    for number, name in enumerate(("one", "two")):
+        refresh.land(frame(spark, "agent", [(str(number), name, "y", None)]), "agent", folders["agent"])
+        refresh.refresh(spark, refresh.feed_streams(spark, folders), root, f"file://{tmp_path}/c{number}", SETTINGS,
+                        feeds.AVAILABLE_NOW)
+    names = {r.agent_name for r in warehouse.read_table(spark, root, "staging/agent").collect()}
+    assert names == {"one", "two"} and warehouse.committed(spark, root)[0] == 1
+
+
+def test_events_without_agent_and_corrected_stages(spark, tmp_path):
+    """The published funnel is that of the operator on the staged rows."""
+    root = f"file://{tmp_path}"
+    first = [("1", "1", str(T0), "a", None), ("2", None, str(T0), "a", None), ("3", None, str(T0), "b", None),
+             ("4", "2", str(T0 + timedelta(days=1)), "b", None)]
+    # The only stage event of the second day turns out to be none.
+    corrected = [("4", "2", str(T0 + timedelta(days=1)), "x", None)]
+    for number, rows in enumerate((first, corrected)):
+        layers.run_cycle(spark, root, number, layers.tag({"event": frame(spark, "event", rows)}), SETTINGS)
+    # ts equal in both versions: the staged row decides what the marts must show.
+    staged = warehouse.read_table(spark, root, "staging/event")
+    wanted = {
+        "funnel_reached": funnel.funnel_reached(facts.stage_marks(staged, STAGES), 3, "week"),
+        "funnel_ordered": funnel.funnel_ordered(funnel.stage_paths(staged, STAGES), 3, "week"),
+    }
+    for name, mart in wanted.items():
+        rows = lambda f: sorted(map(str, f.select("stage_no", "units").collect()))
+        assert rows(warehouse.read_mart(spark, root, name)) == rows(mart)
+
+
+def test_a_block_without_stage_events_is_gone(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    day = lambda code, seconds: [("4", "2", str(T0 + timedelta(seconds=seconds)), code, None)]
+    other = [("1", "1", str(T0 + timedelta(days=3)), "a", None)]
+    for number, rows in enumerate((day("b", 0) + other, day("x", 5))):
+        layers.run_cycle(spark, root, number, layers.tag({"event": frame(spark, "event", rows)}), SETTINGS)
+    units = {r.stage_no: r.units for r in warehouse.read_mart(spark, root, "funnel_reached").collect()}
+    assert units == {1: 1, 2: 0, 3: 0}

@@ -33,8 +33,10 @@ def test_digits(spark):
 
 def test_parse_decimal(spark):
     clean_decimal = lambda cell: text.parse_decimal(text.clean(cell))
-    assert apply(spark, clean_decimal, ["1 234,50", "1\u00a0234,50", "12.345", "1x", "", None, "-7"]) == [
-        Decimal("1234.50"), Decimal("1234.50"), Decimal("12.35"), None, None, None, Decimal("-7.00")]
+    assert apply(spark, clean_decimal, ["1 234,50", "1\u00a0234,50", "12.345", "12.340", "1x", "", None, "-7",
+                                       "9999999999999999.99", "99999999999999999"]) == [
+        Decimal("1234.50"), Decimal("1234.50"), None, Decimal("12.34"), None, None, None, Decimal("-7.00"),
+        Decimal("9999999999999999.99"), None]
 
 
 @pytest.mark.parametrize("cell, want", [

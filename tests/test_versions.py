@@ -34,6 +34,12 @@ def test_boundary_rows_are_read_again(spark):
     rows = frame(spark, [(1, T0, "a"), (2, T0, "late"), (3, T0 - timedelta(1), "seen"), (4, T0 + timedelta(1), "b")])
     assert sorted(r.id for r in incremental(rows, "updated_at", T0).collect()) == [1, 2, 4]
     assert incremental(rows, "updated_at", None).count() == 4
+    assert sorted(r.id for r in incremental(rows, "updated_at", T0, timedelta(1)).collect()) == [1, 2, 3, 4]
+
+
+def test_rows_without_a_cursor_are_read_by_every_load(spark):
+    rows = frame(spark, [(1, None, "a"), (2, T0, "b")])
+    assert sorted(r.id for r in incremental(rows, "updated_at", T0 + timedelta(1)).collect()) == [1]
 
 
 def test_best_row_is_picked_before_the_shuffle(spark):

@@ -42,7 +42,24 @@ def test_replayed_batches(spark, root):
 def test_a_record_is_never_overwritten(spark, root):
     w.write_atomic(numbers(spark, 0, 1), root, "mart/t", 1)
     with pytest.raises(Exception, match="(?i)exist"):
-        w._create(spark, f"{root}/_commits", f"{1:020d}.json", "{}")
+        w._create(spark, f"{root}/_commits", f"{0:020d}.json", "{}")
+
+
+def test_each_query_counts_its_own_batches(spark, root):
+    """A number seen from one query is no replay when another brings it."""
+    w.write_atomic(numbers(spark, 0, 1), root, "mart/t", 0, "old")
+    w.write_atomic(numbers(spark, 5, 6), root, "mart/t", 0, "new")
+    w.write_atomic(numbers(spark, 7, 8), root, "mart/t", 0, "old")
+    assert seen(w.read_mart(spark, root, "t")) == [5] and w.committed(spark, root)[0] == 1
+
+
+def test_an_emptied_block_is_not_read(spark, root):
+    rows = numbers(spark, 0, 6).selectExpr("n", "CAST(n DIV 3 AS STRING) AS block")
+    w.write_snapshot(rows, root, "fact/t", 0, block="block")
+    w.publish(spark, root, 0, {"fact/t": {"0": 0, "1": 0}})
+    w.publish(spark, root, 1, {"fact/t": {"0": w.EMPTY}})
+    assert seen(w.read_table(spark, root, "fact/t")) == [3, 4, 5]
+    assert w.read_table(spark, root, "fact/t", ["0"]) is None
 
 
 def test_blocks_are_replaced_one_by_one(spark, root):
@@ -81,5 +98,6 @@ def test_expire_keeps_what_recent_records_name(spark, root):
 def test_growing_tables(spark, root):
     for n in range(3):
         w.write_snapshot(numbers(spark, n, n + 1), root, "typed/t", n)
-    w.write_atomic(numbers(spark, 0, 1), root, "mart/a", 1)
+    for n in range(2):
+        w.write_atomic(numbers(spark, 0, 1), root, "mart/a", n)
     assert seen(w.read_appended(spark, root, "typed/t")) == [0, 1]

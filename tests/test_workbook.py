@@ -4,6 +4,7 @@ import zipfile
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from dealscope.operators import staging
 from dealscope.schemas import SHOWING, SUPPORT
 from dealscope.sources.workbook import read_workbooks
@@ -57,7 +58,7 @@ def test_two_files_shared_and_inline_strings(spark, tmp_path):
         f'<row>{inline("A2", "5")}{inline("B2", "3")}</row>')})
     (tmp_path / "notes.txt").write_text("not a workbook")
 
-    raw = read_workbooks(spark, str(tmp_path), "Показы", COLUMNS)
+    raw = read_workbooks(spark, str(tmp_path), "Показы", COLUMNS, lenient=True)
     got = {(r._path.rsplit("/", 1)[1], r._row): (r.record_id, r.agent_id, r.shown_at, r.score) for r in raw.collect()}
     assert got == {
         ("one.xlsx", 3): ("1", "7", "45292", "1 234,50"),
@@ -81,7 +82,10 @@ def test_support_sheet_and_missing_sheet(spark, tmp_path):
     typed = staging.type_raw(raw, SUPPORT, codes={"status": {"в работе": "open", "закрыта": "closed"}})
     rows = staging.settle(typed, SUPPORT).collect()
     assert [(r.case_id, r.deal_id, r.status) for r in rows] == [(1, 10, "closed")]
-    assert read_workbooks(spark, str(tmp_path), "absent", columns).count() == 0
+    assert read_workbooks(spark, str(tmp_path), "absent", columns, lenient=True).count() == 0
+    for sheet, wanted in (("absent", columns), ("Сделки", {**columns, "status": "status"})):
+        with pytest.raises(Exception, match="no sheet 'absent'|no headings \\['status'\\]"):
+            read_workbooks(spark, str(tmp_path), sheet, wanted).collect()
 
 
 def test_long_sheet_comes_in_batches(spark, tmp_path):
