@@ -48,15 +48,17 @@ def leaderboard(facts: DataFrame, k: int, agents: DataFrame | None = None,
                 period: tuple[date, date] | None = None) -> DataFrame:
     """The ``k`` best by volume, ties broken by id: ``place, id, deals, volume``.
 
+    A leaderboard names sellers, so volume without an id, which ratings show, has no place in it.
+
     Sort and limit become a per-task top-k, so the window sees ``k`` rows only.
     """
     by = "agent_id" if agents is None else "agency_id"
     order = [F.desc("volume"), F.asc(by)]
-    top = sales(facts, agents, period).orderBy(*order).limit(k)
+    top = sales(facts, agents, period).where(F.col(by).isNotNull()).orderBy(*order).limit(k)
     place = F.row_number().over(Window.orderBy(*order)).cast("bigint")
     return top.select(place.alias("place"), by, "deals", "volume")
 
 
 def _by_volume() -> Column:
-    """Largest volume first, in hundredths."""
-    return (F.col("volume") * -100).cast("bigint")
+    """Largest volume first."""
+    return -F.col("volume")

@@ -183,4 +183,12 @@ QUERIES: dict[str, Query] = {
     "refreshed_cohort_retention": _refreshed("cohort_retention"),
     "refreshed_rating_agency": _refreshed("rating_agency"),
     "refreshed_funnel_ordered": _refreshed("funnel_ordered"),
+    "refreshed_funnel_reached": _refreshed("funnel_reached"),
+    "refreshed_funnel_by_period": _refreshed("funnel_by_period"),
+    "refreshed_rating_agent_in_agency": _refreshed("rating_agent_in_agency"),
+    "refreshed_leaderboard_agency": _refreshed("leaderboard_agency"),
+    "refreshed_churn_agency": _refreshed("churn_agency"),
+    "refreshed_activity_status": _refreshed("activity_status"),
+    "refreshed_rf_segment": _refreshed("rf_segment"),
+    "refreshed_cohort_size": _refreshed("cohort_size"),
 }

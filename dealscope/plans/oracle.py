@@ -123,7 +123,7 @@ total AS (
   WHERE status = 'F' {period} GROUP BY {by})
 SELECT CAST(row_number() OVER (ORDER BY volume DESC, {by}) AS BIGINT) AS place, {by},
        CAST(deals AS BIGINT) AS deals, CAST(volume AS DECIMAL(38,2)) AS volume
-FROM total ORDER BY volume DESC, {by} LIMIT 10"""
+FROM total WHERE {by} IS NOT NULL ORDER BY volume DESC, {by} LIMIT 10"""
 
 
 def _churn(by: str, days: int, asof: str = "") -> str:
@@ -261,11 +261,14 @@ FROM events"""
 
 _STAGING_MARKET = """
 WITH line AS (
-  SELECT l_orderkey * 8 + l_linenumber AS market_deal_id, lower(p_type) AS object_type,
+  SELECT concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE),
+           CAST(l_extendedprice AS DECIMAL(18,2)), CAST(l_quantity AS DECIMAL(18,2)),
+           CAST(l_discount AS DECIMAL(18,2)), CAST(l_tax AS DECIMAL(18,2)), l_returnflag, l_linestatus
+         ) AS market_deal_id, lower(p_type) AS object_type,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS price, CAST(l_quantity AS DECIMAL(18,2)) AS area,
          CAST(l_shipdate AS DATE) AS deal_date
   FROM lineitem JOIN part ON l_partkey = p_partkey)
-SELECT CAST(market_deal_id AS BIGINT) AS market_deal_id, object_type, price, area, deal_date
+SELECT market_deal_id, object_type, price, area, deal_date
 FROM line
 QUALIFY row_number() OVER (
   PARTITION BY market_deal_id ORDER BY deal_date DESC, price DESC, area DESC, object_type DESC) = 1"""
@@ -325,4 +328,12 @@ ORACLE: dict[str, str] = {
     "refreshed_churn_agent": _churn("agent_id", 180),
     "refreshed_rf_matrix": _rf_matrix("agent_id"),
     "refreshed_cohort_retention": _retention("agent_id"),
+    "refreshed_funnel_reached": _reached(),
+    "refreshed_funnel_by_period": _snapshot("week", "week AS period,"),
+    "refreshed_rating_agent_in_agency": _RATING_WITHIN,
+    "refreshed_leaderboard_agency": _leaderboard("agency_id"),
+    "refreshed_churn_agency": _churn("agency_id", 30),
+    "refreshed_activity_status": _ACTIVITY,
+    "refreshed_rf_segment": _rf("agent_id") + " SELECT * FROM segment",
+    "refreshed_cohort_size": _COHORT_SIZE,
 }

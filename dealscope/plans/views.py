@@ -120,11 +120,14 @@ def raw_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market deals; the stored line keys repeat, so the deal id hashes the line."""
+    """Market deals; the stored line keys repeat, so the deal id is the whole line."""
+    money = [F.col(c).cast("decimal(18,2)") for c in ("l_extendedprice", "l_quantity", "l_discount", "l_tax")]
+    whole = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date"), *money,
+             "l_returnflag", "l_linestatus"]
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("object_type"))
     rows = table(spark, sf_dir, "lineitem").join(parts, "l_partkey").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("market_deal_id"),
+        F.concat_ws("/", *[F.col(c) if isinstance(c, str) else c for c in whole]).alias("market_deal_id"),
         "object_type",
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
         F.col("l_quantity").cast("decimal(18,2)").alias("area"),

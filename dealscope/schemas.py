@@ -41,7 +41,7 @@ SUPPORT = Entity(
     "support", _schema(case_id=LONG, deal_id=LONG, status=TEXT, updated_at=TIME), ("case_id",), ("updated_at",))
 MARKET = Entity(
     "market",
-    _schema(market_deal_id=LONG, object_type=TEXT, price=MONEY, area=MONEY, deal_date=DAY),
+    _schema(market_deal_id=TEXT, object_type=TEXT, price=MONEY, area=MONEY, deal_date=DAY),
     ("market_deal_id",), ("deal_date", "price", "area", "object_type"))
 
 ENTITIES = {e.name: e for e in (DEAL, AGENT, COMPANY, MANAGER, EVENT, SHOWING, SUPPORT, MARKET)}
