@@ -43,6 +43,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{_base_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of :func:`shared_dir` that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut(rows: DataFrame) -> DataFrame:
     """Compute rows that several branches of a plan read once, and keep them in
     the shared folder, where they outlive the executors."""
