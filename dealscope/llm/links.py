@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.llm.tables import kept
+from dealscope.llm.tables import kept, settled
 
 
+@settled
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """``node`` and ``component``, the smallest node it can reach, for every node of an edge.
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from dealscope.llm import words
 from dealscope.llm.links import components
-from dealscope.llm.tables import kept
+from dealscope.llm.tables import kept, settled
 
 BAND_RATIO = 1.5
 #: Rows of the index that one expected meeting of unrelated documents is worth.
@@ -269,6 +269,7 @@ class _Verifier:
         return pairs.join(side["x"], "x").join(side["p"], "p").where(both * 100 >= either * self.percent).select("x", "p")
 
 
+@settled
 def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> DataFrame:
     """``x, p``: edges between different documents that connect just those that similar pairs connect.
 
@@ -304,7 +305,7 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
     entries = kept(entries.where("many > 2").select("entry", "doc_id").distinct(), "groups")
     limit = FIRST_PAIRS
     while True:
-        found = kept(_close(_unsettled(entries, heads, edges), prints, percent, limit), "close")
+        found = _close(entries, heads, edges, prints, percent, limit)
         pairs = found.select("x", "p").distinct()
         if not pairs.isEmpty():
             edges = kept(edges.union(verifier.similar(pairs)), "edges")
@@ -325,8 +326,11 @@ def _unsettled(entries: DataFrame, heads: DataFrame, edges: DataFrame) -> DataFr
     return rows.join(groups, "entry").withColumn("place", F.row_number().over(order) - 1)
 
 
-def _close(rows: DataFrame, prints: DataFrame, percent: int, limit: int) -> DataFrame:
+@settled
+def _close(entries: DataFrame, heads: DataFrame, edges: DataFrame, prints: DataFrame, percent: int,
+           limit: int) -> DataFrame:
     """``x, p, more``: what ``close_pairs`` finds in each entry, by pairs of blocks of BLOCK documents."""
+    rows = _unsettled(entries, heads, edges)
     block = F.floor(F.col("place") / BLOCK).cast("int")
     blocks = F.floor((F.col("last") - 1) / BLOCK).cast("int")
     rows = rows.join(prints, "doc_id").select(
@@ -368,6 +372,7 @@ def _close(rows: DataFrame, prints: DataFrame, percent: int, limit: int) -> Data
     return rows.mapInArrow(search, "x long, p long, more boolean")
 
 
+@settled
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs`` (``doc_id``, ``text``).
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealscope.llm import words
-from dealscope.llm.tables import kept
+from dealscope.llm.tables import kept, settled
 
 
 def anchors(hashes: np.ndarray, min_words: int, seed_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,6 +103,7 @@ def window_rows(docs: DataFrame, places: DataFrame, min_words: int) -> DataFrame
     return joined.mapInArrow(rows, "anchor long, window long, doc_id long, at int")
 
 
+@settled
 def repeats(docs: DataFrame, min_words: int, seed_words: int) -> DataFrame:
     """``doc_id, at, windows``: stretches of windows that a document with a smaller id has too."""
     found = kept(occurrences(docs, min_words, seed_words), "anchors")

@@ -2,20 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealscope.session import shared_dir
+from dealscope.session import remove, shared_dir
+
+#: Folders of the tables kept so far within the innermost settled step.
+_KEPT: ContextVar[list[str] | None] = ContextVar("_KEPT", default=None)
 
 
 def kept(rows: DataFrame, label: str) -> DataFrame:
     """Rows written to the shared folder and read again: several readers, one computation, and no
     dependence on the executors that made them."""
     path = shared_dir(rows.sparkSession, label)
+    if (held := _KEPT.get()) is not None:
+        held.append(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def settled(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A step whose result is written before it returns; the tables it kept on the way are deleted then.
+
+    For results much smaller than those tables. If the step fails, they stay.
+    """
+    @wraps(step)
+    def run(*args, **options) -> DataFrame:
+        held: list[str] = []
+        token = _KEPT.set(held)
+        try:
+            result = step(*args, **options)
+        finally:
+            _KEPT.reset(token)
+        result = kept(result, step.__name__.strip("_"))
+        for path in held:
+            remove(result.sparkSession, path)
+        return result
+    return run
+
+
 def same(pairs: dict[str, str]) -> Column:
     """Equality of columns, by their names on both sides, in which null equals null."""
     condition = F.lit(True)
