@@ -311,6 +311,8 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
             edges = kept(edges.union(verifier.similar(pairs)), "edges")
         if found.where("more").isEmpty():
             return edges
+        # An entry that held nothing back has had all its close pairs checked.
+        entries = entries.join(found.where("more").select("entry").distinct(), "entry", "left_semi")
         limit *= MORE_PAIRS
 
 
@@ -329,7 +331,7 @@ def _unsettled(entries: DataFrame, heads: DataFrame, edges: DataFrame) -> DataFr
 @settled
 def _close(entries: DataFrame, heads: DataFrame, edges: DataFrame, prints: DataFrame, percent: int,
            limit: int) -> DataFrame:
-    """``x, p, more``: what ``close_pairs`` finds in each entry, by pairs of blocks of BLOCK documents."""
+    """``entry, x, p, more``: what ``close_pairs`` finds in each entry, by pairs of blocks of BLOCK documents."""
     rows = _unsettled(entries, heads, edges)
     block = F.floor(F.col("place") / BLOCK).cast("int")
     blocks = F.floor((F.col("last") - 1) / BLOCK).cast("int")
@@ -345,15 +347,17 @@ def _close(entries: DataFrame, heads: DataFrame, edges: DataFrame, prints: DataF
 
         def pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             entry, i, j, block, ids, component, sizes = (np.asarray(batch.column(c)) for c in range(7))
-            bits = batch.column(7).to_pylist()
+            bits = batch.column(7)
             new = (np.diff(entry) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
             bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(entry)]
             for a, b in zip(bounds, bounds[1:]):
-                x, p, more = close_pairs(sizes[a:b], bits[a:b], component[a:b], block[a:b], percent, limit)
+                x, p, more = close_pairs(sizes[a:b], bits.slice(a, b - a).to_pylist(), component[a:b], block[a:b],
+                                         percent, limit)
                 if len(x):
                     x, p = ids[a:b][x], ids[a:b][p]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, p)), pa.array(np.minimum(x, p)),
-                                                      pa.array(more)], ["x", "p", "more"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(x), entry[a])), pa.array(np.maximum(x, p)), pa.array(np.minimum(x, p)),
+                         pa.array(more)], ["entry", "x", "p", "more"])
 
         # The last group of a batch may go on in the next one: it waits.
         for batch in batches:
@@ -369,7 +373,7 @@ def _close(entries: DataFrame, heads: DataFrame, edges: DataFrame, prints: DataF
         for batch in held:
             yield from pairs(batch)
 
-    return rows.mapInArrow(search, "x long, p long, more boolean")
+    return rows.mapInArrow(search, "entry long, x long, p long, more boolean")
 
 
 @settled
