@@ -17,7 +17,7 @@ import pyarrow as pa
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: Bytes of text that are worked on at once; a longer text is taken alone.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_BASE = np.uint64(0xD1342543DE82EF95)
