@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.operators.facts import as_of, attribute
+from dealscope.operators.facts import as_of, attribute, last_day
 
 
 def churn(facts: DataFrame, days: int, asof: date | None = None,
@@ -17,8 +17,10 @@ def churn(facts: DataFrame, days: int, asof: date | None = None,
     With reference date ``a`` and window ``days``: previous is ``(a-2*days, a-days]``,
     current is ``(a-days, a]``. Churned means active in the previous window and
     not in the current one. The rate is NULL when nobody was active before.
+    The default reference date is the last deal's; it is read first, so that the
+    window reaches the scan as literals.
     """
-    last = as_of(facts, asof)
+    last = F.lit(asof if asof is not None else last_day(facts)).cast("date")
     recent = facts.where((F.col("deal_date") > F.date_sub(last, 2 * days)) & (F.col("deal_date") <= last))
     by = "agent_id"
     in_prev, in_curr = _windows(last, days)

@@ -84,6 +84,11 @@ def as_of(facts: DataFrame, given: date | None) -> Column:
     return facts.agg(F.max("deal_date")).scalar()
 
 
+def last_day(facts: DataFrame) -> date | None:
+    """The last deal date, read at once: as a literal it prunes files and row groups, as a subquery it doesn't."""
+    return facts.agg(F.max("deal_date")).first()[0]
+
+
 def attribute(per_agent: DataFrame, agents: DataFrame) -> DataFrame:
     """Add ``agency_id`` to rows already reduced to a few per agent.
 

@@ -12,6 +12,8 @@ from dealscope.functions import text
 from dealscope.operators.versions import latest_by
 from dealscope.schemas import Entity
 
+# What orders extracts in time: the batch, and within it when the file landed, in milliseconds.
+ARRIVAL = ("_batch_id", "_landed")
 RAW_COLUMNS = ("_source", "_batch_id", "_ingested_at")
 
 
@@ -87,18 +89,24 @@ def _parse(cell: Column, wanted: T.DataType) -> Column:
 
 def type_raw(raw: DataFrame, entity: Entity, names: Sequence[str] = (), phones: Sequence[str] = (),
              codes: dict[str, dict[str, str]] | None = None) -> DataFrame:
-    """All raw rows of an entity, cleaned, normalised and typed, with ``_rejects``."""
+    """All raw rows of an entity, cleaned, normalised and typed, with ``_rejects``.
+
+    A column that the source does not have is NULL.
+    """
+    missing = [c for c in entity.schema.fieldNames() if c not in raw.columns]
+    raw = raw.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else raw
     typed = cast_types(normalise(raw, names, phones), entity.schema, entity.key, codes)
-    batch = ["_batch_id"] if "_batch_id" in raw.columns else []
-    return typed.select(*entity.schema.fieldNames(), *batch, "_rejects")
+    arrival = [F.col(c).try_cast("bigint").alias(c) for c in ARRIVAL if c in raw.columns]
+    return typed.select(*entity.schema.fieldNames(), *arrival, "_rejects")
 
 
 def settle(typed: DataFrame, entity: Entity) -> DataFrame:
     """The staging table: rows with a key, the latest version of each.
 
-    The entity's own version columns decide first, then the batch.
+    The entity's own version columns decide first, then the batch, then which
+    extract of the batch landed last.
     """
-    order = [*entity.version, *(["_batch_id"] if "_batch_id" in typed.columns else [])]
+    order = [*entity.version, *[c for c in ARRIVAL if c in typed.columns]]
     for key in entity.key:
         typed = typed.where(F.col(key).isNotNull())
     rows = typed.drop("_rejects")

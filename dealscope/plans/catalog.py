@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dealscope import schemas
 from dealscope.operators import churn, cohort, facts, funnel, rating, rf, staging
+from dealscope.operators.versions import incremental
 from dealscope.plans import views
 from dealscope.plans.views import RULES, STAGES
 from dealscope.session import shared_dir
@@ -92,21 +93,22 @@ def agent_stage_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deals after three incremental loads into raw: stale versions, the current
-    ones, and the current ones delivered again."""
-    stored = views.table(spark, sf_dir, "orders").schema
+    """Deals after two loads on one cursor. At the first the source ends with some day and all amounts of
+    that last day are still open; the second reads from that day on, so its deals come in both loads."""
+    source = views.deal_versions(views.table(spark, sf_dir, "orders"))
     root = shared_dir(spark, "raw-latest")
-    stale = {"status": F.lit("O"), "amount": F.lit(0).cast("decimal(18,2)"),
-             "updated_at": F.date_sub("updated_at", 1).cast("timestamp_ntz")}
-    for load, changes in enumerate((stale, {}, {})):
-        feed = feeds.read_feed(spark, sf_dir, stored, "orders.parquet")
-        rows = views.deal_versions(feed).withColumns(changes) if changes else views.deal_versions(feed)
-        feeds.append_raw(rows, "crm", f"{root}/raw/load={load}", f"{root}/checkpoint/{load}",
-                         feeds.AVAILABLE_NOW)
-    raw = reduce(DataFrame.unionByName, [
-        spark.read.parquet(f"{root}/raw/load={load}").withColumn("_batch_id", F.lit(load).cast("bigint"))
-        for load in range(3)
-    ])
+    days = source.agg(F.min("updated_at").alias("a"), F.max("updated_at").alias("b")).first()
+    middle = days.a + (days.b - days.a) / 2 if days.a else None
+    so_far = source.where(F.col("updated_at") <= F.lit(middle).cast("timestamp_ntz"))
+    seen = so_far.agg(F.max("updated_at")).first()[0]
+    open_still = F.col("updated_at") == F.lit(seen).cast("timestamp_ntz")
+    first = so_far.withColumns({
+        "amount": F.when(open_still, F.lit(0).cast("decimal(18,2)")).otherwise(F.col("amount")),
+        "status": F.when(open_still, "O").otherwise(F.col("status"))})
+    loads = [first, incremental(source, "updated_at", seen)]
+    for load, rows in enumerate(loads):
+        staging.to_raw(rows, "crm", load).write.parquet(f"{root}/raw/load={load}")
+    raw = reduce(DataFrame.unionByName, [spark.read.parquet(f"{root}/raw/load={load}") for load in range(2)])
     return _plain_times(views.staged(raw, schemas.DEAL, **RULES["deal"]))
 
 
@@ -129,6 +131,37 @@ def _refreshed_root(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+@cache
+def _side_root(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse with the entities that no mart reads, refreshed from the whole tables once per session."""
+    root = shared_dir(spark, "refresh-side")
+    refresh.refresh(spark, views.side_feeds(spark, sf_dir), root, f"{root}/checkpoint", views.SETTINGS,
+                    feeds.AVAILABLE_NOW)
+    return root
+
+
+def _refreshed_staging(entity: schemas.Entity) -> Query:
+    """A staging table as of the last commit of the refresh."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = warehouse.read_table(spark, _side_root(spark, sf_dir), f"staging/{entity.name}")
+        return _plain_times(rows.select(*entity.schema.fieldNames()))
+    return run
+
+
+def refreshed_rating_agency_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings of agencies when two extracts of all agents wait for one refresh; the first has everyone elsewhere."""
+    root = shared_dir(spark, "refresh-moved")
+    landing = {name: f"{root}/landing/{name}" for name in ("agent", "deal")}
+    agents = views.stamped(views.agents(spark, sf_dir))
+    refresh.land(agents.withColumn("agency_id", F.lit("elsewhere")), "agent", landing["agent"])
+    refresh.land(agents, "agent", landing["agent"])
+    deals = views.deal_versions(views.table(spark, sf_dir, "orders"))
+    refresh.land(deals, "deal", landing["deal"])
+    refresh.refresh(spark, refresh.feed_streams(spark, landing), f"{root}/warehouse", f"{root}/checkpoint",
+                    views.SETTINGS, feeds.AVAILABLE_NOW)
+    return warehouse.read_mart(spark, f"{root}/warehouse", "rating_agency")
+
+
 def _refreshed(mart: str) -> Query:
     """A mart read back from the warehouse after the refresh."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +204,10 @@ QUERIES: dict[str, Query] = {
     "staging_deal": _staging(schemas.DEAL, views.raw_deal),
     "staging_event": staging_event,
     "staging_market": _staging(schemas.MARKET, views.raw_market),
+    "staging_agent_dirty": _staging(schemas.AGENT, views.raw_agent_dirty),
+    "staging_deal_dirty": _staging(schemas.DEAL, views.raw_deal_dirty),
+    "staging_showing": _staging(schemas.SHOWING, views.raw_showing),
+    "staging_support": _staging(schemas.SUPPORT, views.raw_support),
     "staging_rejects": staging_rejects,
     "raw_incremental_latest": raw_incremental_latest,
     "funnel_daily_stream": funnel_daily_stream,
@@ -191,4 +228,8 @@ QUERIES: dict[str, Query] = {
     "refreshed_activity_status": _refreshed("activity_status"),
     "refreshed_rf_segment": _refreshed("rf_segment"),
     "refreshed_cohort_size": _refreshed("cohort_size"),
+    "refreshed_rating_agency_moved": refreshed_rating_agency_moved,
+    "refreshed_company": _refreshed_staging(schemas.COMPANY),
+    "refreshed_manager": _refreshed_staging(schemas.MANAGER),
+    "refreshed_market": _refreshed_staging(schemas.MARKET),
 }

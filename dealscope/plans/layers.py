@@ -141,7 +141,7 @@ def merge_entity(spark: SparkSession, root: str, entity: Entity, batch_id: int,
         return {}
     before = warehouse.read_table(spark, root, table, touched, now)
     if before is not None:
-        rows = rows.unionByName(before)
+        rows = rows.unionByName(before, allowMissingColumns=True)
     rows = staging.settle(rows, entity).withColumn("block", block)
     # Ranges of the key, not of the block alone, so a crowded block is written
     # by several tasks; the files then cover short key ranges.

@@ -233,16 +233,23 @@ SELECT agent_id, CAST(ts AS DATE) AS day, CAST(bit_or(1 << (stage_no - 1)) AS BI
 FROM mark GROUP BY 1, 2"""
 
 _STAGING_MANAGER = """
-SELECT s_suppkey AS manager_id, lower(s_name) AS manager_name FROM supplier"""
+SELECT s_suppkey AS manager_id, lower(s_name) AS manager_name, TIMESTAMP '2000-01-01' AS updated_at FROM supplier"""
 
 _STAGING_COMPANY = """
 SELECT DISTINCT CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment AS agency_id,
-       lower(n_name || ' ' || c_mktsegment) AS agency_name
+       lower(n_name || ' ' || c_mktsegment) AS agency_name, TIMESTAMP '2000-01-01' AS updated_at
 FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
 _STAGING_AGENT = """
 SELECT c_custkey AS agent_id, lower(c_name) AS agent_name,
-       CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment AS agency_id, CAST(NULL AS VARCHAR) AS phone
+       CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment AS agency_id, CAST(NULL AS VARCHAR) AS phone,
+       TIMESTAMP '2000-01-01' AS updated_at
+FROM customer"""
+
+_STAGING_AGENT_DIRTY = """
+SELECT c_custkey AS agent_id, lower(c_name) AS agent_name,
+       CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment AS agency_id,
+       CASE WHEN c_nationkey > 3 THEN '7' || c_nationkey || c_custkey END AS phone, TIMESTAMP '2000-01-01' AS updated_at
 FROM customer"""
 
 _DEAL_COLUMNS = """
@@ -252,6 +259,19 @@ CAST(o_orderdate AS TIMESTAMP) AS deal_ts, CAST(o_orderdate AS TIMESTAMP) AS upd
 
 _STAGING_DEAL = f"SELECT {_DEAL_COLUMNS} FROM orders"
 
+_STAGING_DEAL_DIRTY = f"""
+SELECT * REPLACE (CASE WHEN status <> 'partial' THEN amount END AS amount) FROM ({_STAGING_DEAL})"""
+
+_STAGING_SHOWING = """
+SELECT event_id AS record_id, user_id AS agent_id, CAST(ts AS DATE) AS shown_at,
+       CAST(CAST(floor(value) AS BIGINT) AS DECIMAL(18,2)) AS score
+FROM events"""
+
+_STAGING_SUPPORT = """
+SELECT o_orderkey AS case_id, o_orderkey AS deal_id, o_orderpriority AS status,
+       CAST(o_orderdate AS TIMESTAMP) AS updated_at
+FROM orders"""
+
 _STAGING_EVENT = """
 SELECT event_id, user_id AS agent_id, CAST(ts AS TIMESTAMP) AS ts, event_type AS stage_code,
        CAST(CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3
@@ -316,6 +336,10 @@ ORACLE: dict[str, str] = {
     "staging_deal": _STAGING_DEAL,
     "staging_event": _STAGING_EVENT,
     "staging_market": _STAGING_MARKET,
+    "staging_agent_dirty": _STAGING_AGENT_DIRTY,
+    "staging_deal_dirty": _STAGING_DEAL_DIRTY,
+    "staging_showing": _STAGING_SHOWING,
+    "staging_support": _STAGING_SUPPORT,
     "staging_rejects": _STAGING_REJECTS,
     "raw_incremental_latest": _STAGING_DEAL,
     "funnel_daily_stream": _FUNNEL_DAILY,
@@ -336,4 +360,8 @@ ORACLE: dict[str, str] = {
     "refreshed_activity_status": _ACTIVITY,
     "refreshed_rf_segment": _rf("agent_id") + " SELECT * FROM segment",
     "refreshed_cohort_size": _COHORT_SIZE,
+    "refreshed_rating_agency_moved": _rating("agency_id"),
+    "refreshed_company": _STAGING_COMPANY,
+    "refreshed_manager": _STAGING_MANAGER,
+    "refreshed_market": _STAGING_MARKET,
 }

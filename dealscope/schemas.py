@@ -30,9 +30,13 @@ DEAL = Entity(
     "deal",
     _schema(deal_id=LONG, agent_id=LONG, amount=MONEY, status=TEXT, deal_ts=TIME, updated_at=TIME),
     ("deal_id",), ("updated_at",))
-AGENT = Entity("agent", _schema(agent_id=LONG, agent_name=TEXT, agency_id=TEXT, phone=TEXT), ("agent_id",))
-COMPANY = Entity("company", _schema(agency_id=TEXT, agency_name=TEXT), ("agency_id",))
-MANAGER = Entity("manager", _schema(manager_id=LONG, manager_name=TEXT), ("manager_id",))
+AGENT = Entity(
+    "agent", _schema(agent_id=LONG, agent_name=TEXT, agency_id=TEXT, phone=TEXT, updated_at=TIME),
+    ("agent_id",), ("updated_at",))
+COMPANY = Entity(
+    "company", _schema(agency_id=TEXT, agency_name=TEXT, updated_at=TIME), ("agency_id",), ("updated_at",))
+MANAGER = Entity(
+    "manager", _schema(manager_id=LONG, manager_name=TEXT, updated_at=TIME), ("manager_id",), ("updated_at",))
 EVENT = Entity(
     "event", _schema(event_id=LONG, agent_id=LONG, ts=TIME, stage_code=TEXT, props=TEXT), ("event_id",), ("ts",))
 SHOWING = Entity(

@@ -46,12 +46,16 @@ def pull_crm(spark: SparkSession, tables: dict[str, CrmTable], root: str, feeds:
 
 def feed_streams(spark: SparkSession, feeds: dict[str, str], form: str = "parquet",
                  max_files: int = 1000) -> dict[str, DataFrame]:
-    """A text stream per entity from the folder its extracts land in, which may still be missing."""
+    """A text stream per entity from the folder its extracts land in, which may still be missing.
+
+    ``_landed`` is when a row's file landed: of two extracts in one batch the later one counts.
+    """
+    landed = F.unix_millis("_metadata.file_modification_time").alias("_landed")
     for path in feeds.values():
         warehouse.make_folder(spark, path)
     return {
         name: read_feed(spark, path, text_schema(ENTITIES[name].schema.fieldNames()), form=form,
-                        max_files=max_files)
+                        max_files=max_files).select("*", landed)
         for name, path in feeds.items()
     }
 

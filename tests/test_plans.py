@@ -1,10 +1,11 @@
 """What the plans must not do at scale, and what they must push down."""
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 
 from dealscope.operators import churn, facts
+from dealscope.operators.versions import incremental
 from dealscope.plans import views
 from dealscope.plans.catalog import QUERIES
 
@@ -44,6 +45,19 @@ def test_window_dates_reach_the_scan_of_condensed_facts(spark, sf_dir, tmp_path)
     assert "GreaterThan(deal_date," in plan and "LessThanOrEqual(deal_date,2001-08-01)" in plan
 
 
+def test_default_window_reaches_the_scan_of_condensed_facts(spark, sf_dir, tmp_path):
+    path = f"file://{tmp_path}/facts"
+    facts.roll_up_deals(views.deal_facts(spark, sf_dir)).write.parquet(path)
+    plan = plan_of(churn.churn(spark.read.parquet(path), 180))
+    assert "GreaterThan(deal_date,2" in plan or "GreaterThan(deal_date,1" in plan, plan
+
+
+def test_second_load_reads_from_the_cursor_on(spark, sf_dir):
+    rows = views.deal_versions(views.table(spark, sf_dir, "orders"))
+    plan = plan_of(incremental(rows, "updated_at", datetime(2001, 1, 1)))
+    assert "GreaterThanOrEqual(o_orderdate,2001-01-01" in plan, plan
+
+
 @pytest.mark.parametrize("name", ["rating_agent", "rating_agent_in_agency", "rating_agency"])
 def test_deals_are_scanned_once_for_ranks(spark, sf_dir, name):
     """Counting for the ranks reuses the shuffle of the totals; the filter on won deals is pushed."""
