@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from dealscope.operators import facts, funnel
+from dealscope.operators import facts, funnel, staging
 from dealscope.plans import layers
 from dealscope.schemas import AGENT, DEAL, EVENT
 from dealscope.sources import warehouse
@@ -35,8 +35,8 @@ def batches(seed=1):
         events.append((str(n), str(0 if n % 3 == 0 else pick.randrange(40)), str(when), pick.choice("abcx"), None))
     events += pick.sample(events, 200)
     events.append(("9000", "1", None, "a", None))
-    agents = [(str(n), f" Agent «{n}» ", f"y{n % 5}", "+7 (1)") for n in range(40)]
-    moved = [("3", "Agent 3", "y0", "8")]
+    agents = [(str(n), f" Agent «{n}» ", f"y{n % 5}", "+7 (1)", None) for n in range(40)]
+    moved = [("3", "Agent 3", "y0", "8", None)]
     pick.shuffle(deals)
     pick.shuffle(events)
     third = lambda rows, i: rows[i::3]
@@ -56,7 +56,7 @@ def contents(spark, root):
     result = {}
     for table in tables:
         rows = warehouse.read_table(spark, root, table, tables=tables)
-        rows = rows.select(*sorted(c for c in rows.columns if c != "_batch_id"))
+        rows = rows.select(*sorted(c for c in rows.columns if c not in staging.ARRIVAL))
         result[table] = sorted(map(str, rows.collect()))
     return result
 
@@ -133,7 +133,7 @@ def test_refused_cells_and_untouched_blocks(spark, tmp_path):
 def test_a_new_checkpoint_on_an_old_warehouse_loses_nothing(spark, tmp_path):
     root, folders = f"file://{tmp_path}/w", {"agent": f"file://{tmp_path}/agent"}
     for number, name in enumerate(("one", "two")):
-        refresh.land(frame(spark, "agent", [(str(number), name, "y", None)]), "agent", folders["agent"])
+        refresh.land(frame(spark, "agent", [(str(number), name, "y", None, None)]), "agent", folders["agent"])
         refresh.refresh(spark, refresh.feed_streams(spark, folders), root, f"file://{tmp_path}/c{number}", SETTINGS,
                         feeds.AVAILABLE_NOW)
     names = {r.agent_name for r in warehouse.read_table(spark, root, "staging/agent").collect()}
