@@ -114,9 +114,8 @@ def raw_incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def funnel_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily stage counts of the event stream when every event is delivered twice."""
-    stored = views.table(spark, sf_dir, "events").schema
     root = shared_dir(spark, "funnel-daily")
-    once = views.events_of(feeds.read_feed(spark, sf_dir, stored, "events.parquet"))
+    once = views.events_of(views.stream(spark, sf_dir, "events"))
     counts = daily.daily_counts(once.unionByName(once), STAGES, "2 days")
     daily.run_daily(counts, root, f"{root}/checkpoint", feeds.AVAILABLE_NOW)
     return warehouse.read_mart(spark, root, "funnel_daily")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from dealscope.operators import facts, staging
 from dealscope.plans.layers import Settings
 from dealscope.schemas import AGENT, COMPANY, DEAL, EVENT, MANAGER, MARKET, SHOWING, SUPPORT
+from dealscope.sources import warehouse
 from dealscope.streaming.feeds import read_feed
 
 # Event types standing for the five stages, and order statuses.
@@ -195,23 +196,27 @@ def market_of(lines: DataFrame, parts: DataFrame) -> DataFrame:
 def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The test tables of deals, agents and events as streams of extracts."""
     return {
-        "deal": deal_versions(_stream(spark, sf_dir, "orders")),
-        "agent": stamped(agents_of(_stream(spark, sf_dir, "customer")).withColumn("phone", F.lit(None).cast("string"))),
-        "event": events_of(_stream(spark, sf_dir, "events")),
+        "deal": deal_versions(stream(spark, sf_dir, "orders")),
+        "agent": stamped(agents_of(stream(spark, sf_dir, "customer")).withColumn("phone", F.lit(None).cast("string"))),
+        "event": events_of(stream(spark, sf_dir, "events")),
     }
 
 
 def side_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The test tables of agencies, managers and market deals as streams of extracts."""
     return {
-        "company": companies_of(_stream(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")),
-        "manager": managers_of(_stream(spark, sf_dir, "supplier")),
-        "market": market_of(_stream(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")),
+        "company": companies_of(stream(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")),
+        "manager": managers_of(stream(spark, sf_dir, "supplier")),
+        "market": market_of(stream(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")),
     }
 
 
-def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_feed(spark, sf_dir, table(spark, sf_dir, name).schema, f"{name}.parquet")
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream, whether it is one file or a folder of part files, perhaps in partitions."""
+    path, schema = f"{sf_dir}/{name}.parquet", table(spark, sf_dir, name).schema
+    if warehouse.is_folder(spark, path):
+        return read_feed(spark, path, schema, recursive=False)
+    return read_feed(spark, sf_dir, schema, f"{name}.parquet")
 
 
 def staged(raw: DataFrame, entity, **rules) -> DataFrame:

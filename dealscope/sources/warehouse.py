@@ -217,6 +217,12 @@ def _create(spark: SparkSession, folder: str, name: str, body: str) -> None:
     move(spark, f"{folder}/{draft.getName()}", f"{folder}/{name}")
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    place = _path(spark, path)
+    system = _system(spark, place)
+    return system.exists(place) and system.getFileStatus(place).isDirectory()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     folder = _path(spark, path)
     _system(spark, folder).mkdirs(folder)

@@ -15,13 +15,14 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*",
-              form: str = "parquet", max_files: int = 1000) -> DataFrame:
+              form: str = "parquet", max_files: int = 1000, recursive: bool = True) -> DataFrame:
     """A stream of the files that appear in a folder or below it; ``max_files`` is
-    the chunk of one batch."""
+    the chunk of one batch. Without ``recursive`` folders below are partitions, whose
+    values are columns of ``schema``."""
     return (
         spark.readStream.format(form).schema(schema)
         .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", recursive)
         .option("maxFilesPerTrigger", max_files)
         .load(path)
     )
