@@ -343,6 +343,7 @@ ORACLE: dict[str, str] = {
     "staging_rejects": _STAGING_REJECTS,
     "raw_incremental_latest": _STAGING_DEAL,
     "funnel_daily_stream": _FUNNEL_DAILY,
+    "funnel_daily_late": _FUNNEL_DAILY,
     "refreshed_rating_agency": _rating("agency_id"),
     "refreshed_funnel_ordered": _ordered(),
     "refreshed_funnel_snapshot": _snapshot(),

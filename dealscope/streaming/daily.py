@@ -1,4 +1,8 @@
-"""Daily stage counts of an event stream whose deliveries repeat and come late."""
+"""Daily stage counts of an event stream whose deliveries repeat and come late.
+
+:func:`keep_daily` counts every event, however late. :func:`daily_counts` holds
+nothing but the open days and leaves out what comes after the watermark.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,10 @@ from dealscope.operators.versions import latest_by
 from dealscope.sources import warehouse
 
 TABLE = "mart/funnel_daily"
+#: The counted events, in blocks of a day.
+EVENTS = "staging/daily_event"
+# The block of events without a time.
+NO_DAY = "none"
 
 
 def daily_counts(events: DataFrame, stages: tuple[str, ...], lateness: str) -> DataFrame:
@@ -57,3 +65,46 @@ def run_daily(counts: DataFrame, root: str, checkpoint: str, trigger: dict) -> N
         .option("checkpointLocation", checkpoint).foreachBatch(merge).start()
     )
     query.awaitTermination()
+
+
+def keep_daily(events: DataFrame, stages: tuple[str, ...], root: str, checkpoint: str, trigger: dict,
+               keep: int = 144) -> None:
+    """Keep ``day, stage_no, events`` under ``root`` equal to a count of all ``events`` that ever came.
+
+    The events (``event_id, ts, stage_code``) are kept in blocks of a day. A batch
+    rewrites the days it brings events of, old or new, and counts those again; an
+    event delivered again for its day counts once. One without an id is not
+    counted, as in staging; one without a time counts under no day. The files of
+    the last ``keep`` batches stay for readers that began on them.
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        number = warehouse.next_batch(spark, root, warehouse.query_of(spark), batch_id)
+        if number is None:
+            return
+        ts = F.col("ts").cast("timestamp")
+        new = batch.where(F.col("stage_code").isin(list(stages)) & F.col("event_id").isNotNull()).select(
+            "event_id", ts.alias("ts"), ts.cast("date").alias("day"),
+            stage_number(F.col("stage_code"), stages).cast("bigint").alias("stage_no"))
+        block = F.coalesce(F.date_format("day", "yyyy-MM-dd"), F.lit(NO_DAY))
+        touched = sorted(r[0] for r in new.select(block).distinct().collect())
+        if not touched:
+            return
+        before = warehouse.read_table(spark, root, EVENTS, touched)
+        rows = latest_by(new if before is None else new.unionByName(before), ["day", "event_id"], ["ts"])
+        # Small days share a task, large ones fill several.
+        warehouse.write_snapshot(rows.withColumn("block", block).hint("rebalance", "block"), root, EVENTS, number, "block")
+        written = warehouse.read_batch(spark, root, EVENTS, number)
+        counts = written.groupBy("day", "stage_no").agg(F.count(F.lit(1)).alias("events"))
+        mart = warehouse.read_table(spark, root, TABLE)
+        if mart is not None:
+            counts = counts.unionByName(mart.where(~block.isin(touched)))
+        warehouse.write_snapshot(counts, root, TABLE, number)
+        warehouse.publish(spark, root, number, {EVENTS: dict.fromkeys(touched, number), TABLE: {warehouse.WHOLE: number}},
+                          source=(warehouse.query_of(spark), batch_id))
+        warehouse.expire(spark, root, keep)
+
+    query = (
+        events.writeStream.trigger(**trigger).option("checkpointLocation", checkpoint).foreachBatch(merge).start()
+    )
+    query.awaitTermination()
