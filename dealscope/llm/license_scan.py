@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import math
+from collections.abc import Iterable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +43,8 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 THRESHOLD = 0.8
+#: What ends a unit of each scope.
+SPLITS = {"paragraph": r"\n[\x20\x09]*\n", "sentence": r"\n|(?<=[.!?])[\x20\x09]+"}
 
 
 def tokens(text: Column) -> Column:
@@ -45,18 +52,52 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def sequence(words: Column) -> Column:
+    """The bigrams of an array of words in order, as 64-bit hashes."""
+    return F.slice(F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1))), F.lit(1),
+                   F.greatest(F.size(words) - 1, F.lit(0)))
+
+
 def bigrams(words: Column) -> Column:
     """Distinct bigrams of an array of two words or more, as 64-bit hashes."""
-    return F.array_distinct(F.slice(F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1))),
-                                    F.lit(1), F.size(words) - 1))
+    return F.array_distinct(sequence(words))
+
+
+class Template(NamedTuple):
+    """``need`` bigrams at least are shared by whatever reaches the threshold; of ``rare`` one at least is among them."""
 
+    license: str
+    words: int
+    first: int
+    grams: list[int]
+    need: int
+    rare: list[int]
 
-def template_table(spark: SparkSession, templates: dict[str, str]) -> list[tuple[str, list[int]]]:
-    """Each template's name and bigrams. The list has the templates' size, whatever the corpus."""
+
+def template_table(spark: SparkSession, templates: dict[str, str], threshold: float) -> list[Template]:
+    """The templates' bigrams. The list has the templates' size, whatever the corpus."""
     rows = spark.createDataFrame(sorted(templates.items()), "license string, text string")
     rows = rows.withColumn("words", tokens(F.col("text"))).where(F.size("words") > 1)
-    return [(r["license"], sorted(r["grams"])) for r in
-            rows.select("license", bigrams(F.col("words")).alias("grams")).orderBy("license").collect()]
+    out = []
+    for r in rows.select("license", "words", sequence(F.col("words")).alias("grams")).orderBy("license").collect():
+        # 2 * shared >= t * (a + b) and b >= shared, so shared >= a * t / (2 - t): less than all but need - 1 can't be missing.
+        length = {g: len(a) + len(b) for g, a, b in zip(r["grams"], r["words"], r["words"][1:])}
+        need = max(1, math.ceil(len(length) * threshold / (2 - threshold) - 1e-9))
+        rare = sorted(length, key=lambda g: (-length[g], g))[:len(length) - need + 1]
+        out.append(Template(r["license"], len(r["words"]), r["grams"][0], sorted(length), need, rare))
+    return out
+
+
+def listed(table: list[Template]) -> Column:
+    """The templates as one literal: an expression for each bigram would make large plans."""
+    rows = [{"license": t.license, "words": t.words, "first": t.first, "size": len(t.grams), "need": t.need,
+             "grams": t.grams} for t in table]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<license string, words int, first bigint, size int, "
+                                                "need int, grams array<bigint>>>")
+
+
+def among(value: str, grams: Iterable[int]) -> str:
+    return f"{value} IN ({', '.join(str(g) + 'L' if g != -1 << 63 else f'CAST({g} AS BIGINT)' for g in sorted(set(grams)))})"
 
 
 def units(docs: DataFrame) -> DataFrame:
@@ -68,38 +109,113 @@ def units(docs: DataFrame) -> DataFrame:
             F.lit(scope).alias("scope"), i.cast("long").alias("unit"), tokens(p).alias("words")))).otherwise(F.array())
     whole = F.array(F.struct(F.lit("text").alias("scope"), F.lit(0).cast("long").alias("unit"),
                              tokens(F.col("text")).alias("words")))
-    all_ = F.concat(whole, part("paragraph", r"\n[\x20\x09]*\n"), part("sentence", r"\n|(?<=[.!?])[\x20\x09]+"))
+    all_ = F.concat(whole, *[part(scope, pattern) for scope, pattern in SPLITS.items()])
     rows = docs.where("text IS NOT NULL").select("doc_id", F.explode(all_).alias("u"))
     return rows.select("doc_id", "u.scope", "u.unit", "u.words")
 
 
+def _one(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` and a column. Exploding one-element arrays keeps the optimizer from copying ``value`` into every
+    expression that reads it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
+def runs(docs: DataFrame, table: list[Template], threshold: float) -> DataFrame:
+    """``doc_id, scope, unit, license, shared, dice``: templates in the middle of a text, whatever its lines and sentences.
+
+    A run has as many words as the template at most and begins and ends with one of
+    its bigrams; ``unit`` is its first word, from 0. A run that begins within a
+    streak of the template's bigrams shares no more than one that begins with the
+    streak, so only the streaks' beginnings, and all places of the template's first
+    bigram, are tried. Of runs that lie in each other's middle the best counts, and
+    those in a unit that reaches the threshold itself are left to ``units``.
+    """
+    rows = docs.where("text IS NOT NULL").select("doc_id", "text")
+    rows = _one(rows, "grams", sequence(tokens(F.col("text"))))
+    rows = rows.where(F.expr(f"exists(grams, g -> {among('g', (g for t in table for g in t.rare))})"))
+    rows = _one(rows, "hits", F.expr("filter(transform(grams, (g, i) -> struct(i AS at, g AS gram)), "
+                                     f"h -> {among('h.gram', (g for t in table for g in t.grams))})"))
+    rows = _one(rows, "own", F.array_distinct("hits.gram"))
+    fitting = F.filter(listed(table), lambda t: (t["need"] <= F.size("own")) & (
+        F.size(F.array_intersect("own", t["grams"])) >= t["need"]))
+    rows = _one(rows, "templates", fitting).drop("own").where(F.size("templates") > 0)
+    for scope, pattern in SPLITS.items():
+        marked = F.regexp_replace(F.translate("text", "\u0001", " "), pattern, " \u0001 ")
+        marked = F.filter(F.split(F.lower(marked), r"[^\p{L}\p{N}\x01]+"), lambda w: w != "")
+        ends = F.filter(F.transform(marked, lambda w, i: F.when(w == "\u0001", i)), lambda i: i.isNotNull())
+        # The first words of the scope's units.
+        rows = _one(rows, scope, F.concat(F.array(F.lit(0)), F.transform(ends, lambda m, i: m - i)))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows = rows.select("row", "doc_id", "grams", "hits", *SPLITS, F.explode("templates").alias("t"))
+    t = F.col("t")
+    rows = _one(rows, "mine", F.filter("hits", lambda h: F.array_contains(t["grams"], h["gram"]))).drop("hits")
+    at = F.col("mine.at")
+    starts = F.filter(F.transform("mine", lambda h, k: F.when(
+        ((k == 0) | (F.get(at, k - 1) < h["at"] - 1) | (h["gram"] == t["first"]))
+        & (F.get(at, k + t["need"] - 1) <= h["at"] + t["words"] - 2), h["at"])), lambda p: p.isNotNull())
+    rows = rows.select("row", "doc_id", "grams", *SPLITS, "t", at.alias("at"), F.explode(starts).alias("start"))
+    last = F.array_max(F.filter("at", lambda p: p <= F.col("start") + F.col("t.words") - 2))
+    rows = _one(rows, "end", last + 2).drop("at")
+
+    def score(rows: DataFrame, start: Column, end: Column) -> DataFrame:
+        """``found`` of the words from ``start`` to ``end``."""
+        rows = _one(rows, "_grams", F.array_distinct(F.slice("grams", start + 1, F.greatest(end - start - 1, F.lit(0)))))
+        shared = F.size(F.array_intersect("_grams", F.col("t.grams"))).cast("long")
+        return _one(rows, "found", F.struct(
+            shared.alias("shared"), (F.lit(2.0) * shared / (F.size("_grams") + F.col("t.size"))).alias("dice"))).drop("_grams")
+    rows = score(rows, F.col("start"), F.col("end")).where(F.col("found.dice") >= threshold - 1e-12)
+    rows = rows.withColumnRenamed("found", "run")
+    rows = rows.withColumn("middle", F.floor((F.col("start") + F.col("end")) / 2).cast("int"))
+    words = F.size("grams") + 1
+    rows = score(rows, F.lit(0), words).where(F.col("found.dice") < threshold - 1e-12).drop("found")
+    for scope in SPLITS:
+        low = F.array_max(F.filter(scope, lambda b: b <= F.col("middle")))
+        high = F.coalesce(F.array_min(F.filter(scope, lambda b: b > F.col("middle"))), words)
+        rows = score(rows, low, high).where(F.col("found.dice") < threshold - 1e-12).drop("found")
+    # Rows of one text are few: its runs that reach the threshold.
+    rows = rows.groupBy("row", "doc_id").agg(F.collect_list(F.struct(
+        F.col("run.dice").alias("dice"), F.col("t.license").alias("license"), "start", "end", "middle",
+        F.col("run.shared").alias("shared"))).alias("all"))
+
+    def beaten(r: Column, o: Column) -> Column:
+        inside = (o["start"] <= r["middle"]) & (r["middle"] < o["end"]) & (r["start"] <= o["middle"]) & (o["middle"] < r["end"])
+        better = (o["dice"] > r["dice"]) | ((o["dice"] == r["dice"]) & (
+            (o["shared"] > r["shared"]) | ((o["shared"] == r["shared"]) & (
+                (o["license"] < r["license"]) | ((o["license"] == r["license"]) & (o["start"] < r["start"]))))))
+        return inside & better
+    rows = rows.select("doc_id", F.explode(F.filter("all", lambda r: ~F.exists("all", lambda o: beaten(r, o)))).alias("r"))
+    return rows.select("doc_id", F.lit("run").alias("scope"), F.col("r.start").cast("long").alias("unit"), "r.license",
+                       "r.shared", "r.dice")
+
+
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, scope, unit, license, shared, dice``: the best template of each unit that reaches ``threshold``.
 
     A unit is a whole text, a paragraph or a sentence; ``unit`` counts from 0 in its
-    scope. With a and b bigrams, Dice is 2 * shared / (a + b), so only templates with
-    a * t / (2 - t) <= b <= a * (2 - t) / t can reach t: shorter units are dropped
-    unread, and the others only meet the templates that fit. Ties go to the first
-    name. Null texts, and units or templates of fewer than two words, give no row.
+    scope. Notices that fill no such unit come as ``runs`` of words, whose ``unit``
+    is their first word. With a and b bigrams, Dice is 2 * shared / (a + b), so only
+    templates with a * t / (2 - t) <= b <= a * (2 - t) / t can reach t: shorter units
+    are dropped unread, and the others only meet the templates that fit. Ties go to
+    the first name. Null texts, and units or templates of fewer than two words, give
+    no row.
     """
-    table = template_table(docs.sparkSession, TEMPLATES if templates is None else templates)
-    least = min((len(grams) for _, grams in table), default=0) * threshold / (2 - threshold)
-    known = sorted({g for _, grams in table for g in grams})
-    listed = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(len(grams)).alias("size"),
-                                F.array(*[F.lit(g) for g in grams]).alias("grams")) for name, grams in table])
+    table = template_table(docs.sparkSession, TEMPLATES if templates is None else templates, threshold)
+    least = min((len(t.grams) for t in table), default=0) * threshold / (2 - threshold)
     rows = units(docs).where((F.size("words") - 1 >= F.lit(least)) & (F.size("words") > 1))
-    # Exploding one-element arrays keeps the optimizer from copying the bigrams into every expression that reads them.
-    rows = rows.select("doc_id", "scope", "unit", F.explode(F.transform(F.array("words"), bigrams)).alias("grams"))
-    # A unit without any template's bigram has Dice 0 with all.
-    rows = rows.where(F.exists("grams", lambda g: g.isin(known))) if known else rows.where("false")
+    rows = _one(rows, "grams", bigrams(F.col("words"))).drop("words")
+    if not table:
+        return rows.where("false").select("doc_id", "scope", "unit", F.lit("").alias("license"), F.lit(0).cast("long").alias(
+            "shared"), F.lit(0.0).alias("dice"))
+    rows = rows.where(F.expr(f"exists(grams, g -> {among('g', (g for t in table for g in t.rare))})"))
     size = F.size("grams")
-    fitting = F.filter(listed, lambda t: (t["size"] >= size * (threshold / (2 - threshold)) - 1e-9) & (
+    fitting = F.filter(listed(table), lambda t: (t["size"] >= size * (threshold / (2 - threshold)) - 1e-9) & (
         t["size"] <= size * ((2 - threshold) / threshold) + 1e-9))
 
     def scored(t: Column, i: Column) -> Column:
         shared = F.size(F.array_intersect("grams", t["grams"])).cast("long")
         return F.struct((F.lit(2.0) * shared / (F.size("grams") + t["size"])).alias("dice"), (-i).alias("order"),
                         shared.alias("shared"), t["license"].alias("license"))
-    rows = rows.select("doc_id", "scope", "unit", F.explode(F.array(F.array_max(F.transform(fitting, scored)))).alias("_best"))
-    return rows.where(F.col("_best.dice") >= threshold - 1e-12).select(
+    rows = _one(rows, "_best", F.array_max(F.transform(fitting, scored))).where(
+        F.col("_best.dice") >= threshold - 1e-12).select(
         "doc_id", "scope", "unit", "_best.license", "_best.shared", "_best.dice")
+    return rows.unionByName(runs(docs, table, threshold))
