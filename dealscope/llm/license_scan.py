@@ -10,7 +10,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Licence notices as their licensors word them.
+from dealscope.llm.license_texts import NOTICES, full_texts
+
+#: Short licence notices as their licensors word them, and below them the headers and full texts.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": (
@@ -41,7 +43,7 @@ TEMPLATES = {
         "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     "Proprietary": "All rights reserved.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
-}
+} | NOTICES | full_texts()
 THRESHOLD = 0.8
 #: What ends a unit of each scope.
 SPLITS = {"paragraph": r"\n[\x20\x09]*\n", "sentence": r"\n|(?<=[.!?])[\x20\x09]+"}
@@ -63,6 +65,12 @@ def bigrams(words: Column) -> Column:
     return F.array_distinct(sequence(words))
 
 
+def _one(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` and a column. Exploding one-element arrays keeps the optimizer from copying ``value`` into every
+    expression that reads it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 class Template(NamedTuple):
     """``need`` bigrams at least are shared by whatever reaches the threshold; of ``rare`` one at least is among them."""
 
@@ -77,7 +85,7 @@ class Template(NamedTuple):
 def template_table(spark: SparkSession, templates: dict[str, str], threshold: float) -> list[Template]:
     """The templates' bigrams. The list has the templates' size, whatever the corpus."""
     rows = spark.createDataFrame(sorted(templates.items()), "license string, text string")
-    rows = rows.withColumn("words", tokens(F.col("text"))).where(F.size("words") > 1)
+    rows = _one(rows, "words", tokens(F.col("text"))).where(F.size("words") > 1)
     out = []
     for r in rows.select("license", "words", sequence(F.col("words")).alias("grams")).orderBy("license").collect():
         # 2 * shared >= t * (a + b) and b >= shared, so shared >= a * t / (2 - t): less than all but need - 1 can't be missing.
@@ -114,12 +122,6 @@ def units(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "u.scope", "u.unit", "u.words")
 
 
-def _one(rows: DataFrame, name: str, value: Column) -> DataFrame:
-    """``rows`` and a column. Exploding one-element arrays keeps the optimizer from copying ``value`` into every
-    expression that reads it."""
-    return rows.select("*", F.explode(F.array(value)).alias(name))
-
-
 def runs(docs: DataFrame, table: list[Template], threshold: float) -> DataFrame:
     """``doc_id, scope, unit, license, shared, dice``: templates in the middle of a text, whatever its lines and sentences.
 
@@ -131,7 +133,8 @@ def runs(docs: DataFrame, table: list[Template], threshold: float) -> DataFrame:
     those in a unit that reaches the threshold itself are left to ``units``.
     """
     rows = docs.where("text IS NOT NULL").select("doc_id", "text")
-    rows = _one(rows, "grams", sequence(tokens(F.col("text"))))
+    rows = _one(rows, "words", tokens(F.col("text")))
+    rows = _one(rows, "grams", sequence(F.col("words"))).drop("words")
     rows = rows.where(F.expr(f"exists(grams, g -> {among('g', (g for t in table for g in t.rare))})"))
     rows = _one(rows, "hits", F.expr("filter(transform(grams, (g, i) -> struct(i AS at, g AS gram)), "
                                      f"h -> {among('h.gram', (g for t in table for g in t.grams))})"))
@@ -141,19 +144,21 @@ def runs(docs: DataFrame, table: list[Template], threshold: float) -> DataFrame:
     rows = _one(rows, "templates", fitting).drop("own").where(F.size("templates") > 0)
     for scope, pattern in SPLITS.items():
         marked = F.regexp_replace(F.translate("text", "\u0001", " "), pattern, " \u0001 ")
-        marked = F.filter(F.split(F.lower(marked), r"[^\p{L}\p{N}\x01]+"), lambda w: w != "")
+        rows = _one(rows, "_marked", F.filter(F.split(F.lower(marked), r"[^\p{L}\p{N}\x01]+"), lambda w: w != ""))
+        marked = F.col("_marked")
         ends = F.filter(F.transform(marked, lambda w, i: F.when(w == "\u0001", i)), lambda i: i.isNotNull())
         # The first words of the scope's units.
-        rows = _one(rows, scope, F.concat(F.array(F.lit(0)), F.transform(ends, lambda m, i: m - i)))
+        rows = _one(rows, scope, F.concat(F.array(F.lit(0)), F.transform(ends, lambda m, i: m - i))).drop("_marked")
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     rows = rows.select("row", "doc_id", "grams", "hits", *SPLITS, F.explode("templates").alias("t"))
     t = F.col("t")
     rows = _one(rows, "mine", F.filter("hits", lambda h: F.array_contains(t["grams"], h["gram"]))).drop("hits")
-    at = F.col("mine.at")
+    rows = _one(rows, "at", F.col("mine.at"))
+    at = F.col("at")
     starts = F.filter(F.transform("mine", lambda h, k: F.when(
         ((k == 0) | (F.get(at, k - 1) < h["at"] - 1) | (h["gram"] == t["first"]))
         & (F.get(at, k + t["need"] - 1) <= h["at"] + t["words"] - 2), h["at"])), lambda p: p.isNotNull())
-    rows = rows.select("row", "doc_id", "grams", *SPLITS, "t", at.alias("at"), F.explode(starts).alias("start"))
+    rows = rows.select("row", "doc_id", "grams", *SPLITS, "t", "at", F.explode(starts).alias("start"))
     last = F.array_max(F.filter("at", lambda p: p <= F.col("start") + F.col("t.words") - 2))
     rows = _one(rows, "end", last + 2).drop("at")
 
