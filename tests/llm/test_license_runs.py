@@ -18,7 +18,7 @@ def test_every_template_inside_a_paragraph(spark):
     got = {(r.doc_id, r.license): r for r in scan(spark, rows)}
     for i, name in enumerate(names):
         assert got[i, name].dice >= 0.8 and got[1000 + i, name].dice >= 0.8, name
-        if len(license_scan.TEMPLATES[name].split()) < 300:  # longer ones are most of the text
+        if len(license_scan.TEMPLATES[name].split()) < 150:  # longer ones are most of the bigrams
             assert got[i, name].scope == "run" and got[i, name].unit == 80 and got[i, name].dice == 1.0
 
 
