@@ -4,11 +4,13 @@
 
     spark.read.format("paged_api").schema("id string, price string")
         .option("url", "https://host/deals?page={page}&month={period}")
-        .option("pages", 40).option("periods", "2024-01,2024-02").load()
+        .option("periods", "2024-01,2024-02").load()
 
 Every page of every period is one input partition, so pages are fetched in
 parallel and a lost executor costs the pages it was reading. Values arrive as
-text; staging types them.
+text; staging types them. Without ``pages`` the source is asked: by its first page's
+``page_count`` or ``total`` field, or else by looking for the first empty page. A
+read fails if there are items after the last page.
 """
 
 from __future__ import annotations
@@ -31,10 +33,11 @@ def fetch_json(url: str) -> dict:
 
 
 class Page(InputPartition):
-    def __init__(self, number: int, period: str):
-        super().__init__((number, period))
+    def __init__(self, number: int, period: str, last: int | None = None):
+        super().__init__((number, period, last))
         self.number = number
         self.period = period
+        self.last = last
 
 
 class PagedReader(DataSourceReader):
@@ -42,7 +45,9 @@ class PagedReader(DataSourceReader):
         self.names = schema.fieldNames()
         self.url = options["url"]
         self.first = int(options.get("first", "1"))
-        self.pages = int(options["pages"])
+        self.pages = int(options["pages"]) if "pages" in options else None
+        self.count = options.get("page_count", "pages")
+        self.total = options.get("total", "total")
         self.periods = [p.strip() for p in options.get("periods", "").split(",")]
         self.items = options.get("items", "items")
         self.attempts = int(options.get("attempts", "3"))
@@ -50,26 +55,68 @@ class PagedReader(DataSourceReader):
         self.fetch = fetch
 
     def partitions(self) -> list[Page]:
-        return [Page(number, period) for period in self.periods
-                for number in range(self.first, self.first + self.pages)]
+        out = []
+        for period in self.periods:
+            pages = self.pages if self.pages is not None else self._pages(period)
+            out += [Page(number, period, self.first + pages - 1) for number in range(self.first, self.first + pages)]
+        return out
 
     def read(self, partition: Page) -> Iterator[tuple]:
-        url = self.url.replace("{page}", str(partition.number)).replace("{period}", partition.period)
+        url = self._url(partition.number, partition.period)
         reply = self._load(url)
-        if self.items not in reply:
-            raise ValueError(f"{url} has no {self.items!r}: {json.dumps(reply)[:200]}")
-        if partition.number == self.first + self.pages - 1 and reply.get("next"):
+        items = self._items(url, reply)
+        last = partition.last if partition.last is not None else self.first + self.pages - 1
+        if partition.number == last and (reply.get("next") or items and self._beyond(last + 1, partition.period, items)):
             raise ValueError(f"{url} is the last page asked for, but the source has more; raise pages")
-        for item in reply[self.items] or []:
+        for item in items:
             yield tuple(_cell(item.get(name)) for name in self.names)
 
+    def _pages(self, period: str) -> int:
+        """How many pages a period has, at least 1."""
+        url = self._url(self.first, period)
+        reply = self._load(url)
+        items = self._items(url, reply)
+        if str(reply.get(self.count, "")).isdigit():
+            return max(1, int(reply[self.count]))
+        if str(reply.get(self.total, "")).isdigit() and items:
+            return max(1, -(-int(reply[self.total]) // len(items)))
+        if not items:
+            return 1
+        # Pages up to ``full`` have items, ``empty`` has none.
+        full, empty = 1, 2
+        while items := self._beyond(self.first + empty - 1, period, items):
+            full, empty = empty, empty * 2
+        while empty - full > 1:
+            middle = (full + empty) // 2
+            full, empty = (middle, empty) if self._beyond(self.first + middle - 1, period, []) else (full, middle)
+        return full
+
+    def _beyond(self, number: int, period: str, before: list) -> list:
+        """The items of a page that may not exist; none if it only repeats the page ``before``."""
+        url = self._url(number, period)
+        try:
+            items = self._items(url, self._load(url))
+        except urllib.error.URLError as error:
+            if getattr(error, "code", None) in (404, 410) or _no_file(error):
+                return []
+            raise
+        return [] if items == before else items
+
+    def _url(self, number: int, period: str) -> str:
+        return self.url.replace("{page}", str(number)).replace("{period}", period)
+
+    def _items(self, url: str, reply: dict) -> list:
+        if self.items not in reply:
+            raise ValueError(f"{url} has no {self.items!r}: {json.dumps(reply)[:200]}")
+        return reply[self.items] or []
+
     def _load(self, url: str) -> dict:
         """A page, trying again after passing failures with growing pauses."""
         for attempt in range(1, self.attempts + 1):
             try:
                 return self.fetch(url)
-            except (urllib.error.URLError, TimeoutError, ConnectionError):
-                if attempt == self.attempts:
+            except (urllib.error.URLError, TimeoutError, ConnectionError) as error:
+                if attempt == self.attempts or getattr(error, "code", None) in (404, 410) or _no_file(error):
                     raise
                 time.sleep(self.pause * 2 ** (attempt - 1))
         raise ValueError("attempts must be at least 1")
@@ -88,6 +135,12 @@ class PagedApi(DataSource):
         return PagedReader(schema, dict(self.options), type(self).fetch)
 
 
+def _no_file(error: Exception) -> bool:
+    """Whether a ``file:`` page is missing."""
+    reason = getattr(error, "reason", None)
+    return isinstance(reason, FileNotFoundError) or "No such file" in str(reason)
+
+
 def _cell(value) -> str | None:
     if value is None or isinstance(value, str):
         return value
