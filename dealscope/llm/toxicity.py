@@ -4,7 +4,7 @@ A word's embedding is the sum of the hashed vectors of the word and of its first
 letters, so that inflected and compounded forms of a word share most of it.
 Filters of several widths run over the words; the highest response of each, over
 the whole text, goes into a logistic output. A threshold for each language, which
-is told from the text itself, is calibrated on training rows that the fit left out.
+is told from the text itself, is calibrated on all training rows that the fit left out.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ MOST_ROWS = 3000
 #: Words of a training text that the fit reads at once; longer texts are cut into several examples' windows.
 BATCH_TEXTS = 32
 SEED = 20240607
+#: Bins of the histogram of raw scores for each unit, and rows of each label that a language's own threshold takes.
+BINS, LEAST_ROWS = 256, 10
 
 
 class Model(NamedTuple):
@@ -167,12 +169,31 @@ def fit(texts: pa.Array, labels: np.ndarray, seed: int = SEED, epochs: int = EPO
                  np.zeros(0), np.zeros(0))
 
 
-def _language_profile(buckets: list[np.ndarray], languages: np.ndarray, count: int) -> np.ndarray:
-    """Log-probabilities of whole-word buckets, folded to 4096, for each language."""
-    table = np.full((4096, count), 0.5)
-    for row, language in zip(buckets, languages):
-        if language >= 0:
-            table[:, language] += np.bincount(row & 4095, minlength=4096)
+def _language_profile(docs: DataFrame) -> np.ndarray:
+    """Log-probabilities of whole-word buckets, folded to 4096, for each language of all training rows with ``lang``."""
+    if "lang" not in docs.columns:
+        return np.full((4096, 1), -math.log(4096), np.float32)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for piece in words.pieces(batch, "text"):
+                split = words.split(piece.column(1))
+                bucket = features(split)[0] & 4095
+                for lang, i, j in zip(piece.column(0).to_pylist(), split.first, split.first[1:]):
+                    counts.setdefault(lang, np.zeros(4096, np.int64))
+                    counts[lang] += np.bincount(bucket[i:j], minlength=4096)
+        for lang, own in counts.items():
+            # A language without words is one all the same.
+            at = np.union1d(np.flatnonzero(own), [0])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at.astype(np.int32)), pa.array(own[at])],
+                                             ["lang", "bucket", "n"])
+    rows = docs.where("lang IS NOT NULL").select("lang", F.coalesce("text", F.lit("")).alias("text"))
+    found = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    found = found.toArrow()
+    known, language = np.unique(np.asarray(found.column("lang").to_pylist(), dtype=object), return_inverse=True)
+    table = np.full((4096, max(1, len(known))), 0.5)
+    table[np.asarray(found.column("bucket")), language] += np.asarray(found.column("n"))
     return np.log(table / table.sum(0)).astype(np.float32)
 
 
@@ -184,40 +205,84 @@ def _language(buckets: np.ndarray, first: np.ndarray, profile: np.ndarray) -> np
     return (sums[first[1:]] - sums[first[:-1]]).argmax(1)
 
 
-def _best_threshold(score: np.ndarray, label: np.ndarray) -> float:
-    """The raw score that splits the labels best, in the middle of the gap; a clean text rejected counts twice."""
-    order = np.argsort(score)
-    s, y = score[order], label[order]
-    below = np.concatenate([[0.0], np.cumsum(y == 0)]) / max(1, (y == 0).sum())
-    above = 1 - np.concatenate([[0.0], np.cumsum(y == 1)]) / max(1, (y == 1).sum())
+def _best_threshold(score: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The raw score that splits the labels best, in the middle of the gap; a clean text rejected counts twice.
+
+    ``clean`` and ``toxic`` count the texts of each of the ascending scores.
+    """
+    below = np.concatenate([[0.0], np.cumsum(clean)]) / max(1, clean.sum())
+    above = 1 - np.concatenate([[0.0], np.cumsum(toxic)]) / max(1, toxic.sum())
     value = 2 * below + above
     best = np.flatnonzero(value >= value.max() - 1e-12)
-    edges = np.concatenate([[s[0] - 1], (s[1:] + s[:-1]) / 2, [s[-1] + 1]])
+    edges = np.concatenate([[score[0] - 1], (score[1:] + score[:-1]) / 2, [score[-1] + 1]])
     return float((edges[best[0]] + edges[best[-1]]) / 2)
 
 
+def _histogram(docs: DataFrame, label: DataFrame, used: list[int], model: Model) -> dict[str, np.ndarray]:
+    """``language, toxic, bin, n``: raw scores of all labelled rows of ``docs`` but those of the ids ``used`` in the fit.
+
+    Scores are made before the join, so that no text is shuffled for it.
+    """
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model.table.setflags(write=False)
+        for batch in batches:
+            for piece in words.pieces(batch, "text"):
+                split = words.split(piece.column(1))
+                buckets = features(split)
+                raw = np.floor(np.clip(_raw_scores(model, buckets, split.first), -1e6, 1e6) * BINS).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(0), pa.array(_language(buckets[0], split.first, model.languages).astype(np.int32)),
+                     pa.array(raw)], ["doc_id", "language", "bin"])
+    spark = docs.sparkSession
+    fitted = spark.createDataFrame(pa.table({"doc_id": pa.array(used, pa.int64())}))
+    left = label.join(fitted, "doc_id", "left_anti")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+        score, "doc_id long, language int, bin long")
+    # Rows that repeat a doc_id count once.
+    rows = rows.join(left, "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct("language", "toxic", "bin")).alias("r")).select("r.*")
+    found = rows.groupBy("language", "toxic", "bin").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    return {c: np.asarray(found.column(c)) for c in found.column_names}
+
+
+def _thresholds(found: dict[str, np.ndarray], count: int) -> np.ndarray:
+    """For each language the best threshold, of those with fewer than LEAST_ROWS rows of a label the one of all."""
+    def best(mine: np.ndarray, least: int) -> float | None:
+        bins, place = np.unique(found["bin"][mine], return_inverse=True)
+        n, toxic = found["n"][mine], found["toxic"][mine]
+        counts = [np.bincount(place, n * (toxic == value), minlength=len(bins)) for value in (0, 1)]
+        return _best_threshold((bins + 0.5) / BINS, *counts) if min(c.sum() for c in counts) >= least else None
+    general = best(np.ones(len(found["bin"]), bool), 1)
+    own = [best(found["language"] == n, LEAST_ROWS) for n in range(count)]
+    return np.array([t if t is not None else general if general is not None else 0.0 for t in own])
+
+
+def labelled(labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` of the labelled rows that aren't held out."""
+    label = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return label.where(~langid.held_out())
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> DataFrame:
-    """``text, toxic, lang``: of each label about ``most`` labelled rows, or all if there are fewer.
+    """``doc_id, text, toxic``: of each label about ``most`` labelled rows, or all if there are fewer.
 
     The share taken follows from counts; which rows, from a hash of the id. Only
     this sample reaches the driver, whatever the corpus.
     """
-    label = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    label = label.where(~langid.held_out())
+    label = labelled(labels)
     counts = {r["toxic"]: r["count"] for r in label.groupBy("toxic").count().collect()}
     share = F.lit(0.0)
     for value, count in counts.items():
         share = F.when(F.col("toxic") == value, F.lit(min(1.0, most / count))).otherwise(share)
     chance = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     chosen = label.where(chance < share)
-    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     # The chosen ids are bounded by ``most``, so they go to the texts rather than the texts to them.
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang")).join(
-        F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic", "lang")
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:
-    """Fit on four fifths of the sample, thresholds on the rest; ids, languages and labels are no inputs of a score."""
+    """Fit on four fifths of the sample, thresholds on all other labelled rows; ids, languages and labels are no inputs of a score."""
     rows = training_rows(docs, labels, most).orderBy("doc_id").toArrow()
     rows = rows.combine_chunks()
     label = np.asarray(rows.column("toxic")).astype(np.int64)
@@ -229,29 +294,13 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:
                      tuple(np.zeros((w, DIMENSIONS, FILTERS), np.float32) for w in WIDTHS), np.zeros(inputs, np.float32),
                      np.zeros(inputs, np.float32), math.log(share / (1 - share)), np.zeros((4096, 1), np.float32), np.zeros(1))
     texts = rows.column("text").chunk(0)
-    names = rows.column("lang").to_pylist()
-    known = sorted({n for n in names if n is not None})
-    language = np.array([known.index(n) if n is not None else -1 for n in names])
-    left_out = np.arange(len(label)) % 5 == 0
-    chosen = np.flatnonzero(~left_out)
+    chosen = np.flatnonzero(np.arange(len(label)) % 5 != 0)
     model = fit(texts.take(pa.array(chosen)), label[chosen])
     model.table.setflags(write=False)
-    buckets, raw, guesses = [], np.zeros(len(label)), np.zeros(len(label), np.int64)
-    for i in range(len(label)):
-        split = words.split(texts.slice(i, 1))
-        own = features(split)
-        buckets.append(own[0])
-        raw[i] = _raw_scores(model, own, split.first)[0]
-    profile = _language_profile(buckets, language, max(1, len(known)))
-    for i, own in enumerate(buckets):
-        guesses[i] = _language(own, np.array([0, len(own)]), profile)[0]
-    general = _best_threshold(raw[left_out], label[left_out]) if 0 < label[left_out].sum() < left_out.sum() else 0.0
-    thresholds = np.full(profile.shape[1], general)
-    for n in range(profile.shape[1]):
-        mine = left_out & (guesses == n)
-        if min(label[mine].sum(), (1 - label[mine]).sum()) >= 10:
-            thresholds[n] = _best_threshold(raw[mine], label[mine])
-    return model._replace(languages=profile, thresholds=thresholds)
+    mine = docs.where(F.col("doc_id").isNotNull() & ~langid.held_out())
+    model = model._replace(languages=_language_profile(mine))
+    found = _histogram(mine, labelled(labels), rows.column("doc_id").take(pa.array(chosen)).to_pylist(), model)
+    return model._replace(thresholds=_thresholds(found, model.languages.shape[1]))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
