@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from dealscope.llm.tables import kept
 
 #: Characters of text whose documents share one table of units and pairs; a longer text is a chunk alone.
-CHUNK_CHARS = 1 << 25
+CHUNK_CHARS = 1 << 24
 #: Characters of units in one call of the tokenizers, and units of documents that are looked up at once.
 CALL_CHARS, LOOKUP_UNITS = 1 << 18, 1 << 20
 #: Where a unit may start. Python's white space holds all that a tokenizer's pattern calls so.
@@ -248,10 +248,11 @@ class _Chunk:
         self.size += len(text or "") + 64
 
     def links(self) -> Links:
-        """Links of all units. A document with a unit that can't be aligned is tried as one unit, and else has none."""
+        """Links of all units; the units themselves go. A document with a unit that can't be aligned is tried as one unit, and else has none."""
         names = list(self.codes)
         links, good = self.pair.links(names)
         if good.all():
+            self.codes.clear()
             return links
         bad = [d for d in self.docs if not good[d[1]].all()]
         for doc in bad:
@@ -270,8 +271,9 @@ def _batch_chunks(batches: Iterator[pa.RecordBatch], pair: Pair) -> Iterator[_Ch
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py()
             if chunk.docs and chunk.size + len(text or "") > CHUNK_CHARS:
-                yield chunk
-                chunk = _Chunk(pair)
+                full, chunk = chunk, _Chunk(pair)
+                yield full
+                del full
             chunk.add(doc_id, text)
     if chunk.docs:
         yield chunk
@@ -313,7 +315,11 @@ def _chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             columns = [[(TaskContext.get().partitionId() << 32) + number], [[i for i, _ in chunk.docs]], *[[f] for f in figures],
                        [digest], [pairs], [_holders(codes, links.unit, place, len(pairs))], [links.unit], [place],
                        [links.times], [np.concatenate(codes)], [np.cumsum([len(c) for c in codes])]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            # Nothing of this chunk stays while the next one is made.
+            del chunk, links, codes, place, pairs
+            row = pa.RecordBatch.from_arrays([pa.array(columns.pop(0), f.type) for f in schema], schema=schema)
+            yield row
+            del row
 
     types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
     fields = [f.split(" ") for f in _CHUNKS.split(", ")]
