@@ -107,12 +107,18 @@ def settle(typed: DataFrame, entity: Entity) -> DataFrame:
     extract of the batch landed last.
     """
     order = [*entity.version, *[c for c in ARRIVAL if c in typed.columns]]
+    rows = parsed_once(typed.drop("_rejects"))
     for key in entity.key:
-        typed = typed.where(F.col(key).isNotNull())
-    rows = typed.drop("_rejects")
+        rows = rows.where(F.col(key).isNotNull())
     return latest_by(rows, entity.key, order)
 
 
+def parsed_once(rows: DataFrame) -> DataFrame:
+    """The same rows from a generator of one row each. Catalyst can't move filters below it, where it
+    would copy the parsers of a column into them, once for each time a parser names its cell."""
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
 def rejects(typed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per refused cell: the key, ``column, cell``.
 

@@ -27,6 +27,11 @@ from pyspark.sql.types import StructType
 Fetch = Callable[[str], dict]
 
 
+#: A page number that no source reaches, and what sources answer to one that doesn't exist.
+FAR = 10**9
+NO_PAGE = (400, 404, 410, 416, 422)
+
+
 def fetch_json(url: str) -> dict:
     with urllib.request.urlopen(url, timeout=60) as reply:
         return json.load(reply)
@@ -66,7 +71,7 @@ class PagedReader(DataSourceReader):
         reply = self._load(url)
         items = self._items(url, reply)
         last = partition.last if partition.last is not None else self.first + self.pages - 1
-        if partition.number == last and (reply.get("next") or items and self._beyond(last + 1, partition.period, items)):
+        if partition.number == last and (reply.get("next") or items and self._more(last, partition.period, items)):
             raise ValueError(f"{url} is the last page asked for, but the source has more; raise pages")
         for item in items:
             yield tuple(_cell(item.get(name)) for name in self.names)
@@ -82,25 +87,39 @@ class PagedReader(DataSourceReader):
             return max(1, -(-int(reply[self.total]) // len(items)))
         if not items:
             return 1
-        # Pages up to ``full`` have items, ``empty`` has none.
-        full, empty = 1, 2
-        while items := self._beyond(self.first + empty - 1, period, items):
+        # Some sources answer any number beyond the last page with that page: a number far off tells.
+        beyond = self._beyond(self.first + FAR, period)
+
+        def there(page: int) -> bool:
+            items = self._beyond(self.first + page - 1, period)
+            if not items or not beyond:
+                return bool(items)
+            # The last page is followed by itself; another page may equal it, but not the one after that too.
+            return items != beyond or self._beyond(self.first + page, period) != beyond
+
+        # Pages up to ``full`` are there, ``empty`` isn't (or is the last one, if the source repeats that).
+        full, empty = (0 if beyond else 1), (1 if beyond else 2)
+        while there(empty):
             full, empty = empty, empty * 2
         while empty - full > 1:
             middle = (full + empty) // 2
-            full, empty = (middle, empty) if self._beyond(self.first + middle - 1, period, []) else (full, middle)
-        return full
+            full, empty = (middle, empty) if there(middle) else (full, middle)
+        return empty if beyond else full
 
-    def _beyond(self, number: int, period: str, before: list) -> list:
-        """The items of a page that may not exist; none if it only repeats the page ``before``."""
+    def _beyond(self, number: int, period: str) -> list:
+        """The items of a page that may not exist."""
         url = self._url(number, period)
         try:
-            items = self._items(url, self._load(url))
+            return self._items(url, self._load(url))
         except urllib.error.URLError as error:
-            if getattr(error, "code", None) in (404, 410) or _no_file(error):
+            if getattr(error, "code", None) in NO_PAGE or _no_file(error):
                 return []
             raise
-        return [] if items == before else items
+
+    def _more(self, last: int, period: str, items: list) -> bool:
+        """Whether a page follows the last one read, which the source may only be repeating."""
+        after = self._beyond(last + 1, period)
+        return bool(after) and (after != items or self._beyond(self.first + FAR, period) != items)
 
     def _url(self, number: int, period: str) -> str:
         return self.url.replace("{page}", str(number)).replace("{period}", period)
@@ -116,7 +135,7 @@ class PagedReader(DataSourceReader):
             try:
                 return self.fetch(url)
             except (urllib.error.URLError, TimeoutError, ConnectionError) as error:
-                if attempt == self.attempts or getattr(error, "code", None) in (404, 410) or _no_file(error):
+                if attempt == self.attempts or getattr(error, "code", None) in NO_PAGE or _no_file(error):
                     raise
                 time.sleep(self.pause * 2 ** (attempt - 1))
         raise ValueError("attempts must be at least 1")

@@ -35,3 +35,20 @@ def test_items_after_the_last_page_fail():
     for extra, options in (({}, {"pages": "2"}), ({"pages": 2}, {}), ({"total": 2}, {})):
         with pytest.raises(ValueError, match="has more"):
             rows(pages, extra, **options)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 37])
+def test_a_source_that_repeats_its_last_page_is_read_once(n):
+    pages = [[2 * i, 2 * i + 1] for i in range(n)]
+    assert rows(pages, clamp=True) == [str(i) for i in range(2 * n)]
+
+
+def test_equal_pages_are_pages():
+    pages = [[1], [7], [3], [7], [5], [7], [7], [8], [9]]
+    want = [str(i) for p in pages for i in p]
+    assert rows(pages) == rows(pages, missing=True) == rows(pages, clamp=True) == want
+    # A last page that equals the first ones, which the source repeats or doesn't.
+    assert rows([[7], [2], [7]], clamp=True) == rows([[7], [2], [7]]) == ["7", "2", "7"]
+    with pytest.raises(ValueError, match="has more"):
+        rows([[1], [7], [7]], pages="2")
+    assert rows([[1], [7]], clamp=True, pages="2") == ["1", "7"]
