@@ -30,13 +30,15 @@ from pyspark.sql import functions as F
 
 from dealscope.llm import words
 from dealscope.llm.links import components
-from dealscope.llm.tables import kept, settled
+from dealscope.llm.tables import free_shuffles, kept, settled
 
 BAND_RATIO = 1.5
 #: Rows of the index that one expected meeting of unrelated documents is worth.
 MEETING_COST = 8.0
 #: Documents of an index entry that are compared with each other in one go.
-BLOCK = 512
+BLOCK = 4096
+#: Sets that a task remembers so as to index equal ones once.
+COPIES = 50_000
 #: Pairs that an entry may first propose for two components, and the growth of that from round to round.
 FIRST_PAIRS, MORE_PAIRS = 4, 16
 
@@ -124,8 +126,8 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """Whether an odd number of shingles fell on each of at least four times as many bits as there are shingles."""
-    bits = 1 << max(8, (4 * max(1, len(shingles)) - 1).bit_length())
+    """Whether an odd number of shingles fell on each of at least as many bits as there are shingles."""
+    bits = 1 << max(6, (max(1, len(shingles)) - 1).bit_length())
     places = (words.mix(shingles, 3) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
@@ -192,8 +194,7 @@ def _long(values) -> pa.Array:
 
 
 def fingerprints(docs: DataFrame, length: int) -> DataFrame:
-    """``doc_id, n_shingles, key_a, key_b, bits, brief``: the size, a 128-bit hash and the parity bits of each
-    set, and a quarter as many."""
+    """``doc_id, n_shingles, key_a, key_b, bits``: the size, a 128-bit hash and the parity bits of each set."""
     def rows(batches):
         for piece, sets in _sets(batches, length):
             yield pa.RecordBatch.from_arrays([
@@ -201,18 +202,27 @@ def fingerprints(docs: DataFrame, length: int) -> DataFrame:
                 pa.array([len(s) for s in sets], pa.int64()),
                 _long([words.mix(s, 1).sum(dtype=np.uint64) for s in sets]),
                 _long([words.mix(s, 2).sum(dtype=np.uint64) for s in sets]),
-                pa.array(bits := [parity(s) for s in sets], pa.binary()),
-                pa.array([folded(b, len(b) // 32).tobytes() for b in bits], pa.binary()),
-            ], ["doc_id", "n_shingles", "key_a", "key_b", "bits", "brief"])
+                pa.array([parity(s) for s in sets], pa.binary()),
+            ], ["doc_id", "n_shingles", "key_a", "key_b", "bits"])
     return docs.select("doc_id", "text").mapInArrow(
-        rows, "doc_id long, n_shingles long, key_a long, key_b long, bits binary, brief binary")
+        rows, "doc_id long, n_shingles long, key_a long, key_b long, bits binary")
 
 
 def index_rows(docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """``sig, doc_id``: each document's index entries."""
+    """``sig, doc_id``: the index entries of each document, of equal sets that a task meets those of the smallest one
+    it has met (and of earlier ones that it took for the smallest)."""
     def rows(batches):
+        least: dict[tuple[int, int], int] = {}
         for piece, sets in _sets(batches, length):
-            entries = [signatures(s, percent) if len(s) else s for s in sets]
+            if len(least) > COPIES:
+                least.clear()
+            entries = []
+            for doc_id, s in zip(piece.column(0).to_pylist(), sets):
+                same = int(words.mix(s, 1).sum(dtype=np.uint64)), int(words.mix(s, 2).sum(dtype=np.uint64))
+                new = len(s) and doc_id < least.get(same, doc_id + 1)
+                if new:
+                    least[same] = doc_id
+                entries.append(signatures(s, percent) if new else s[:0])
             ids = piece.column(0).take(pa.array(np.repeat(np.arange(len(sets)), [len(e) for e in entries])))
             yield pa.RecordBatch.from_arrays([_long(np.concatenate(entries)), ids], ["sig", "doc_id"])
     return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(rows, "sig long, doc_id long")
@@ -231,10 +241,10 @@ def shingle_arrays(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _near(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes and brief parity bits leave similarity possible."""
+    """Pairs whose sizes and parity bits leave similarity possible."""
     def side(name: str) -> DataFrame:
         return prints.select(F.col("doc_id").alias(name), F.col("n_shingles").alias(f"{name}_n"),
-                             F.col("brief").alias(f"{name}_bits"))
+                             F.col("bits").alias(f"{name}_bits"))
 
     def rows(batches):
         for batch in batches:
@@ -292,7 +302,8 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
         F.count(F.lit(1)).over(together).alias("many"), F.bit_xor(F.xxhash64("doc_id")).over(together).alias("entry")
     ).where("pivot < last").drop("last")
     entries = kept(entries, "entries")
-    prints = kept(known.join(heads, "doc_id", "left_semi").select("doc_id", "n_shingles", "bits", "brief"), "heads")
+    free_shuffles(docs.sparkSession)
+    prints = kept(known.join(heads, "doc_id", "left_semi").select("doc_id", "n_shingles", "bits"), "heads")
     verifier = _Verifier(docs, length, percent)
 
     # Documents that are no heads have no prints here and fall out in the join.
@@ -324,22 +335,32 @@ def _unsettled(entries: DataFrame, heads: DataFrame, edges: DataFrame) -> DataFr
     groups = rows.groupBy("entry").agg(
         F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("last")
     ).where("a < b AND last > 2").select("entry", "last")
-    order = Window.partitionBy("entry").orderBy("doc_id")
+    # Documents of one component stand together, so that many blocks have no other.
+    order = Window.partitionBy("entry").orderBy("component", "doc_id")
     return rows.join(groups, "entry").withColumn("place", F.row_number().over(order) - 1)
 
 
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """``entry, block, i, j``: which pairs of blocks of an entry each block takes part in; pairs of blocks that hold the
+    same single component are left out."""
+    blocks = kept(rows.groupBy("entry", "block").agg(F.min("component").alias("a"), F.max("component").alias("b")), "blocks")
+    left = blocks.select("entry", F.col("block").alias("i"), F.col("a").alias("ia"), F.col("b").alias("ib"))
+    right = blocks.select("entry", F.col("block").alias("j"), F.col("a").alias("ja"), F.col("b").alias("jb"))
+    pairs = left.join(right, "entry").where("i <= j AND least(ia, ja) < greatest(ib, jb)")
+    return pairs.select("entry", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+
+
 @settled
 def _close(entries: DataFrame, heads: DataFrame, edges: DataFrame, prints: DataFrame, percent: int,
            limit: int) -> DataFrame:
     """``entry, x, p, more``: what ``close_pairs`` finds in each entry, by pairs of blocks of BLOCK documents."""
-    rows = _unsettled(entries, heads, edges)
-    block = F.floor(F.col("place") / BLOCK).cast("int")
-    blocks = F.floor((F.col("last") - 1) / BLOCK).cast("int")
-    rows = rows.join(prints, "doc_id").select(
-        "entry", "doc_id", "component", "n_shingles", "bits", block.alias("block"),
-        F.explode(F.sequence(F.lit(0), blocks)).alias("other"))
-    rows = rows.select("entry", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                       "block", "doc_id", "component", "n_shingles", "bits")
+    rows = _unsettled(entries, heads, edges).withColumn("block", F.floor(F.col("place") / BLOCK).cast("int"))
+    rows = kept(rows.select("entry", "doc_id", "component", "block", (F.col("last") > BLOCK).alias("large")), "unsettled")
+    large = rows.where("large")
+    spread = rows.where("NOT large").select("entry", "doc_id", "component", "block", F.lit(0).alias("i"), F.lit(0).alias("j"))
+    if not large.isEmpty():
+        spread = spread.unionByName(large.join(_block_pairs(large), ["entry", "block"]).select(spread.columns))
+    rows = spread.join(prints, "doc_id").select("entry", "i", "j", "block", "doc_id", "component", "n_shingles", "bits")
     rows = rows.repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j", "doc_id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

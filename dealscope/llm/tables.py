@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from contextvars import ContextVar
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dealscope.session import remove, shared_dir
@@ -41,10 +42,18 @@ def settled(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         result = kept(result, step.__name__.strip("_"))
         for path in held:
             remove(result.sparkSession, path)
+        free_shuffles(result.sparkSession)
         return result
     return run
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are over: it does so when the driver collects its garbage,
+    which a driver with little to do would put off past the steps that need the disk."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def same(pairs: dict[str, str]) -> Column:
     """Equality of columns, by their names on both sides, in which null equals null."""
     condition = F.lit(True)

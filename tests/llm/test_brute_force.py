@@ -218,3 +218,21 @@ def test_toxicity_held_out(spark):
     caught = sum(r.predicted and r.toxic for r in rows) / sum(r.toxic for r in rows)
     alarms = sum(r.predicted and not r.toxic for r in rows) / sum(not r.toxic for r in rows)
     assert caught > 0.8 and alarms < 0.05
+
+
+def test_entries_of_many_blocks(spark, monkeypatch):
+    """Texts that share a segment's subset but aren't all similar, compared block by block."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    dice = random.Random(11)
+    base = [[f"w{dice.randint(0, 500)}" for _ in range(60)] for _ in range(3)]
+    rows = []
+    for i in range(150):
+        words_ = list(dice.choice(base))
+        for _ in range(dice.choice([0, 1, 2, 5, 9])):
+            words_[dice.randrange(60)] = f"x{dice.randint(0, 40)}"
+        rows.append((i, " ".join(words_)))
+    rows += [(200 + i, rows[i % 7][1]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for length, percent in ((3, 90), (5, 80), (1, 60)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs, length, percent).collect()}
+        assert got == brute_components(rows, length, percent)
