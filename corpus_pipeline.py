@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dealscope.llm import mixing, ngram_join, packing, substring_dedup, toxicity
@@ -17,11 +17,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each group that shares 0.8 of its five-word shingles; rows without id stay."""
+    """The smallest document of each group that shares 0.8 of its five-word shingles, once; rows without id stay, and of
+    rows that repeat an id with other texts those that differ."""
     ship(spark)
     groups = ngram_join.near_duplicates(docs, length=5, percent=80)
     later = groups.where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    return once(docs.join(later, "doc_id", "left_anti").select(*docs.columns))
+
+
+def once(docs: DataFrame) -> DataFrame:
+    """``docs`` without further rows of an id with the same text, which the joins by id can't tell apart. The row with
+    the least hash stays. Only ids that repeat are shuffled, not the texts of the others."""
+    repeated = kept(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return docs
+    again = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns)
+    best = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.xxhash64(*docs.columns)))
+    first = again.withColumn("_place", best).where("_place = 1").select(*docs.columns)
+    return docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(first)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
