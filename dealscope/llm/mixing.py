@@ -78,7 +78,8 @@ def mixed(docs: DataFrame, size: str, source: str = "source", doc_id: str = "doc
     plan = kept(plan, "mix")
     more = (F.col("_slice") < F.col("_end")) | ((F.col("_slice") == F.col("_end")) & (F.col("_second") < F.col("_share")))
     out = docs.join(plan, same({source: "_source"}))
-    out = out.withColumn("repeats", F.when(F.col("source_size") > 0, F.col("_whole") + more.cast("int")).otherwise(0))
+    out = out.withColumn("repeats", F.when(
+        F.col("source_size") > 0, F.least(F.col("_whole") + more.cast("int"), F.lit(most))).otherwise(0))
     return out.drop("_slice", "_second", "_size", "_source", "_whole", "_end", "_share")
 
 
@@ -88,7 +89,10 @@ def word_count(text: str = "text"):
 
 
 def document_mix(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for each row of ``docs``: sizes are words."""
+    """``doc_id, size, source_size, target, taken`` for each row of ``docs``: sizes are words.
+
+    Null and empty texts have size 0 and take nothing; a null source is a source of its own.
+    """
     sized = docs.select("doc_id", "source", word_count().alias("size"))
     return mixed(sized, "size", **options).select(
         "doc_id", "size", "source_size", "target", (F.col("repeats") * F.col("size")).cast("long").alias("taken"))

@@ -16,12 +16,15 @@ m AS (SELECT s.doc_id, n_words::BIGINT AS n_words,
     len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
     len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
     coalesce(r.n, 0)::BIGINT AS n_repeat_words,
-    len(list_filter(w, lambda x: list_contains({{stop}}, lower(x)))) AS n_stop_words
+    len(list_filter(w, lambda x: list_contains({{stop}}, lower(x)))) AS n_stop_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\x{{00C0}}-\x{{024F}}]')
+        OR NOT regexp_matches(x, '\p{{L}}'))) AS n_latin_words
     FROM s LEFT JOIN r ON r.doc_id = s.doc_id),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND n_repeat_words <= 0.5 * n_words AND word_chars BETWEEN 2 * n_words AND 15 * n_words
-    AND n_symbols::DOUBLE / n_words <= 0.1 AND n_stop_words::DOUBLE / n_words BETWEEN 0.02 AND 0.9
+    AND n_symbols::DOUBLE / n_words <= 0.1
+    AND (2 * n_latin_words < n_words OR n_stop_words::DOUBLE / n_words BETWEEN 0.02 AND 0.9)
     AND n_dup_lines::DOUBLE / n_lines <= 0.6 AS kept FROM b
 """
 

@@ -15,6 +15,8 @@ STOP_WORDS = (
     " de el los las que y se del por con para una su al lo como más pero sus"
 ).split()
 SYMBOLS = "#*$%&|<>"
+#: A word with a letter of the list's scripts, or without any letter.
+LATIN = r"[A-Za-z\u00C0-\u024F]|^\P{L}*$"
 _SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
@@ -33,18 +35,19 @@ RULES = (
     Rule("repeated", "n_repeat_words / nullif(n_words, 0)", 0, 0.5),
     Rule("word_length", "word_chars / nullif(n_words, 0)", 2, 15),
     Rule("symbols", "n_symbols / nullif(n_words, 0)", 0, 0.1),
-    Rule("stop_words", "n_stop_words / nullif(n_words, 0)", 0.02, 0.9),
+    # The list holds words in Latin letters only: it says nothing about texts in other scripts.
+    Rule("stop_words", "CASE WHEN 2 * n_latin_words >= n_words THEN n_stop_words / nullif(n_words, 0) END", 0.02, 0.9),
     Rule("repeated_lines", "n_dup_lines / nullif(n_lines, 0)", 0, 0.6),
 )
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` and ``n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_stop_words``, all long.
+    """``docs`` and ``n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_stop_words, n_latin_words``, all long.
 
     Lines end at newlines; those without a word count nowhere. ``n_dup_lines`` are
     equal to an earlier line. ``n_repeat_words`` are the words in 3-word windows that
     the text has twice or more, the first included; windows are compared by 64-bit
-    hashes within one text. Null and empty texts give zeros.
+    hashes within one text. ``n_latin_words`` have a Latin letter or no letter. Null and empty texts give zeros.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.withColumn("_words", F.filter(F.split(body, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
@@ -56,6 +59,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             F.lit(1), F.size("_words") - 2)).otherwise(F.array().cast("array<bigint>")),
         "_lines": F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")),
         "n_stop_words": F.size(F.filter("_words", lambda w: F.lower(w).isin(STOP_WORDS))),
+        "n_latin_words": F.size(F.filter("_words", lambda w: w.rlike(LATIN))),
     })
     rows = rows.withColumn("_sorted", F.when(
         F.size(F.array_distinct("_windows")) < F.size("_windows"),
@@ -71,6 +75,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_repeat_words": F.when(F.col("_sorted").isNull(), 0).otherwise(F.size(covered)),
         "n_stop_words": F.col("n_stop_words"),
+        "n_latin_words": F.col("n_latin_words"),
     }
     return rows.withColumns({c: e.cast("long") for c, e in longs.items()}).drop("_words", "_windows", "_lines", "_sorted")
 

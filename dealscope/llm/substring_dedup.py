@@ -49,11 +49,11 @@ def _long(values) -> pa.Array:
 
 
 def occurrences(docs: DataFrame, min_words: int, seed_words: int) -> DataFrame:
-    """``anchor, reach, doc_id, at, windows``: each anchor, a hash of its reach, and its windows."""
+    """``anchor, reach, doc_id, variant, at, windows``: each anchor, a hash of its reach, and its windows."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in words.pieces(batch, "text"):
-                split = words.split(piece.column(1))
+                split = words.split(piece.column(2))
                 hashes = words.word_hashes(split)
                 found = []
                 for a, b in zip(split.first[:-1], split.first[1:]):
@@ -64,23 +64,24 @@ def occurrences(docs: DataFrame, min_words: int, seed_words: int) -> DataFrame:
                 count = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
                 seed, reach, at, windows = (np.concatenate([f[i] for f in found]) for i in range(4))
                 yield pa.RecordBatch.from_arrays([
-                    _long(seed), _long(reach), piece.column(0).take(pa.array(count)),
+                    _long(seed), _long(reach), *[piece.column(c).take(pa.array(count)) for c in (0, 1)],
                     pa.array(at, pa.int32()), pa.array(windows, pa.int32()),
-                ], ["anchor", "reach", "doc_id", "at", "windows"])
-    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(
-        rows, "anchor long, reach long, doc_id long, at int, windows int")
+                ], ["anchor", "reach", "doc_id", "variant", "at", "windows"])
+    return docs.where("doc_id IS NOT NULL").select("doc_id", "variant", "text").mapInArrow(
+        rows, "anchor long, reach long, doc_id long, variant long, at int, windows int")
 
 
 def window_rows(docs: DataFrame, places: DataFrame, min_words: int) -> DataFrame:
-    """``anchor, window, doc_id, at``: a hash of each window of the given occurrences."""
-    per_doc = places.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "at", "windows")).alias("places"))
+    """``anchor, window, doc_id, variant, at``: a hash of each window of the given occurrences."""
+    # Of one text, however many rows repeat it.
+    per_doc = places.groupBy("doc_id", "variant").agg(F.collect_set(F.struct("anchor", "at", "windows")).alias("places"))
 
     def rows(batches):
         for batch in batches:
             for piece in words.pieces(batch, "text"):
-                split = words.split(piece.column(1))
+                split = words.split(piece.column(2))
                 hashes = words.word_hashes(split)
-                lists = piece.column(2)
+                lists = piece.column(3)
                 ends = np.asarray(lists.offsets)
                 flat = lists.values
                 seed, at, windows = (np.asarray(flat.field(i)) for i in range(3))
@@ -90,47 +91,60 @@ def window_rows(docs: DataFrame, places: DataFrame, min_words: int) -> DataFrame
                     reps = windows[mine].astype(np.int64)
                     start = np.repeat(at[mine].astype(np.int64), reps)
                     start += np.arange(len(start)) - np.repeat(np.cumsum(reps) - reps, reps)
-                    # Rows of a repeated doc_id meet all its places; those beyond this text are another row's.
-                    fits = start + min_words <= b - a
-                    start, names = start[fits], np.repeat(seed[mine], reps)[fits]
-                    out.append((names, words.span_hashes(hashes[a:b], start, start + min_words, words.SECOND_BASE),
+                    out.append((np.repeat(seed[mine], reps), words.span_hashes(hashes[a:b], start, start + min_words, words.SECOND_BASE),
                                 start))
-                ids = piece.column(0).take(pa.array(np.repeat(np.arange(len(out)), [len(o[2]) for o in out])))
+                owner = pa.array(np.repeat(np.arange(len(out)), [len(o[2]) for o in out]))
                 names, window, start = (np.concatenate([o[i] for o in out]) for i in range(3))
-                yield pa.RecordBatch.from_arrays([_long(names), _long(window), ids, pa.array(start, pa.int32())],
-                                                 ["anchor", "window", "doc_id", "at"])
-    joined = docs.select("doc_id", "text").join(per_doc, "doc_id").select("doc_id", "text", "places")
-    return joined.mapInArrow(rows, "anchor long, window long, doc_id long, at int")
+                yield pa.RecordBatch.from_arrays([
+                    _long(names), _long(window), *[piece.column(c).take(owner) for c in (0, 1)],
+                    pa.array(start, pa.int32())], ["anchor", "window", "doc_id", "variant", "at"])
+    joined = docs.select("doc_id", "variant", "text").join(per_doc, ["doc_id", "variant"]).select(
+        "doc_id", "variant", "text", "places")
+    return joined.mapInArrow(rows, "anchor long, window long, doc_id long, variant long, at int")
 
 
 @settled
 def repeats(docs: DataFrame, min_words: int, seed_words: int) -> DataFrame:
-    """``doc_id, at, windows``: stretches of windows that a document with a smaller id has too."""
+    """``doc_id, variant, at, windows``: stretches of windows that a document with a smaller id has too."""
     found = kept(occurrences(docs, min_words, seed_words), "anchors")
     kinds = kept(found.groupBy("anchor", "reach").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")),
                  "reaches")
     whole = found.join(kinds.where("head < last").select("anchor", "reach", "head"), ["anchor", "reach"]).where(
-        "doc_id > head").select("doc_id", "at", "windows")
+        "doc_id > head").select("doc_id", "variant", "at", "windows")
     # Anchors with several reaches and documents.
     mixed = kinds.groupBy("anchor").agg(
         F.min("reach").alias("a"), F.max("reach").alias("b"), F.min("head").alias("c"), F.max("last").alias("d")
     ).where("a < b AND c < d").select("anchor")
     heads = kinds.join(mixed, "anchor", "left_semi").select("anchor", "reach", F.col("head").alias("doc_id"))
-    places = found.join(heads, ["anchor", "reach", "doc_id"], "left_semi").select("doc_id", "anchor", "at", "windows")
+    places = found.join(heads, ["anchor", "reach", "doc_id"], "left_semi").select(
+        "doc_id", "variant", "anchor", "at", "windows")
     single = kept(window_rows(docs.where("doc_id IS NOT NULL"), places, min_words), "windows")
     firsts = single.groupBy("anchor", "window").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"))
     matched = single.join(firsts.where("head < last").select("anchor", "window", "head"), ["anchor", "window"]).where(
-        "doc_id > head").select("doc_id", "at", F.lit(1).alias("windows"))
+        "doc_id > head").select("doc_id", "variant", "at", F.lit(1).alias("windows"))
     return whole.union(matched)
 
 
+def with_variants(docs: DataFrame) -> DataFrame:
+    """``docs`` and ``variant``, a hash of the text for ids that come with several texts and 0 for all others."""
+    text = F.xxhash64("text")
+    several = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(text).alias("a"), F.max(text).alias("b")).where(
+        "a < b").select("doc_id", F.lit(True).alias("_several"))
+    several = kept(several, "several-texts")
+    if several.isEmpty():
+        return docs.withColumn("variant", F.lit(0).cast("long"))
+    return docs.join(several, "doc_id", "left").withColumn(
+        "variant", F.when(F.col("_several"), text).otherwise(F.lit(0).cast("long"))).drop("_several")
+
+
 def with_repeats(docs: DataFrame, min_words: int = 50, seed_words: int = 16) -> DataFrame:
     """``docs`` and ``repeats``, an array of (at, windows), null without any."""
     if not 0 < seed_words <= min_words:
         raise ValueError("seed_words must lie in 1 to min_words")
-    marks = repeats(docs, min_words, seed_words).groupBy("doc_id").agg(
+    docs = with_variants(docs)
+    marks = repeats(docs, min_words, seed_words).groupBy("doc_id", "variant").agg(
         F.collect_set(F.struct("at", "windows")).alias("repeats"))
-    return docs.join(marks, "doc_id", "left")
+    return docs.join(marks, ["doc_id", "variant"], "left").drop("variant")
 
 
 def _removed(lists: pa.Array, first: np.ndarray, min_words: int) -> tuple[np.ndarray, list[bool]]:
@@ -182,8 +196,8 @@ def drop_repeats(docs: DataFrame, min_words: int = 50, seed_words: int = 16,
     starts in a document with a smaller ``doc_id``; windows are judged on the texts
     as they came. Repeats within one document stay. Other words keep the space
     around them. Null and short texts pass unchanged, so do rows without
-    ``doc_id``; rows that repeat a ``doc_id`` are one document and don't repeat
-    each other. Hashes of 64 bits stand for anchors and, beside them, for reaches
+    ``doc_id``; rows that repeat a ``doc_id``, with the same text or another, don't
+    repeat each other, but each is held against smaller ids by its own text. Hashes of 64 bits stand for anchors and, beside them, for reaches
     and windows: 128 bits decide that two windows are equal.
     """
     names = docs.columns

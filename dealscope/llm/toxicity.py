@@ -276,9 +276,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) ->
         share = F.when(F.col("toxic") == value, F.lit(min(1.0, most / count))).otherwise(share)
     chance = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     chosen = label.where(chance < share)
-    # The chosen ids are bounded by ``most``, so they go to the texts rather than the texts to them.
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic")
+    # The chosen ids are bounded by ``most``, so they go to the texts rather than the texts to them. Of several texts
+    # of an id the one with the least hash counts, on every run.
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select(
+        "doc_id", "text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:
