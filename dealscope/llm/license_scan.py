@@ -45,6 +45,9 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 } | NOTICES | full_texts()
 THRESHOLD = 0.8
+#: Texts that differ in little but a name. A unit that has the second pair of words more often than the
+#: first isn't that licence.
+RIVALS = {"GPL-3.0-text": ("gnu general", "affero general"), "GPL-2.0-text": ("gnu general", "affero general")}
 #: What ends a unit of each scope.
 SPLITS = {"paragraph": r"\n[\x20\x09]*\n", "sentence": r"\n|(?<=[.!?])[\x20\x09]+"}
 
@@ -108,6 +111,19 @@ def among(value: str, grams: Iterable[int]) -> str:
     return f"{value} IN ({', '.join(str(g) + 'L' if g != -1 << 63 else f'CAST({g} AS BIGINT)' for g in sorted(set(grams)))})"
 
 
+def _times(grams: Column, pair: str) -> Column:
+    first, second = pair.split(" ")
+    return F.size(F.filter(grams, lambda gram: gram == F.xxhash64(F.lit(first), F.lit(second))))
+
+
+def named(license: Column, grams: Column, rivals: dict[str, tuple[str, str]]) -> Column:
+    """Whether a unit with these bigrams, repeated ones included, has the licence's own name as often as its rival's."""
+    fits = F.lit(True)
+    for name, (own, rival) in rivals.items():
+        fits = fits & ((license != name) | (_times(grams, own) >= _times(grams, rival)))
+    return fits
+
+
 def units(docs: DataFrame) -> DataFrame:
     """``doc_id, scope, unit, words``: the whole text, its paragraphs and its sentences (which end with their line);
     those beside the text only where there are several."""
@@ -122,14 +138,38 @@ def units(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "u.scope", "u.unit", "u.words")
 
 
+def _best_run() -> Column:
+    """``shared, dice, end`` of the best run from ``start`` on that ends with a streak of the template's bigrams, the
+    first of equal ones. One pass counts distinct bigrams, those of the run that don't stand ``before`` in it."""
+    start, at, none = F.col("start"), F.col("at"), F.lit(0)
+    last = F.least(start + F.col("t.words") - 2, F.size("grams") - 1)
+
+    def step(state: Column, i: Column) -> Column:
+        hit = F.coalesce(F.get(at, state["k"]) == i, F.lit(False))
+        new = F.get(F.col("before"), i) < start
+        distinct = state["distinct"] + new.cast("int")
+        shared = state["shared"] + (new & hit).cast("int")
+        dice = F.lit(2.0) * shared / (distinct + F.col("t.size"))
+        ends = hit & ((i == last) | F.coalesce(F.get(at, state["k"] + 1) != i + 1, F.lit(True))) & (dice > state["dice"])
+        return F.struct((state["k"] + hit.cast("int")).alias("k"), distinct.alias("distinct"), shared.alias("shared"),
+                        F.when(ends, dice).otherwise(state["dice"]).alias("dice"),
+                        F.when(ends, shared).otherwise(state["best"]).alias("best"),
+                        F.when(ends, i + 2).otherwise(state["end"]).alias("end"))
+
+    begin = F.struct((F.array_position(at, start).cast("int") - 1).alias("k"), none.alias("distinct"), none.alias("shared"),
+                     F.lit(0.0).alias("dice"), none.alias("best"), none.alias("end"))
+    return F.aggregate(F.sequence(start, last), begin, step, lambda state: F.struct(
+        state["best"].cast("long").alias("shared"), state["dice"].alias("dice"), state["end"].alias("end")))
+
+
 def runs(docs: DataFrame, table: list[Template], threshold: float) -> DataFrame:
     """``doc_id, scope, unit, license, shared, dice``: templates in the middle of a text, whatever its lines and sentences.
 
     A run has as many words as the template at most and begins and ends with one of
-    its bigrams; ``unit`` is its first word, from 0. A run that begins within a
-    streak of the template's bigrams shares no more than one that begins with the
-    streak, so only the streaks' beginnings, and all places of the template's first
-    bigram, are tried. Of runs that lie in each other's middle the best counts, and
+    its bigrams; ``unit`` is its first word, from 0. A run that begins or ends within a
+    streak of the template's bigrams shares no more than one that has all of the
+    streak, so only the streaks' beginnings, with all places of the template's first
+    bigram, and the streaks' ends are tried. Of runs that lie in each other's middle the best counts, and
     those in a unit that reaches the threshold itself are left to ``units``.
     """
     rows = docs.where("text IS NOT NULL").select("doc_id", "text")
@@ -149,8 +189,13 @@ def runs(docs: DataFrame, table: list[Template], threshold: float) -> DataFrame:
         ends = F.filter(F.transform(marked, lambda w, i: F.when(w == "\u0001", i)), lambda i: i.isNotNull())
         # The first words of the scope's units.
         rows = _one(rows, scope, F.concat(F.array(F.lit(0)), F.transform(ends, lambda m, i: m - i))).drop("_marked")
+    # Where the same bigram stood before, or -1.
+    rows = _one(rows, "_sorted", F.sort_array(F.transform("grams", lambda g, i: F.struct(g.alias("g"), i.alias("i")))))
+    rows = _one(rows, "_linked", F.sort_array(F.transform("_sorted", lambda x, j: F.struct(x["i"].alias("i"), F.when(
+        (j > 0) & (F.get("_sorted", j - 1)["g"] == x["g"]), F.get("_sorted", j - 1)["i"]).otherwise(-1).alias("before")))))
+    rows = _one(rows, "before", F.col("_linked.before")).drop("_sorted", "_linked")
     rows = rows.withColumn("row", F.monotonically_increasing_id())
-    rows = rows.select("row", "doc_id", "grams", "hits", *SPLITS, F.explode("templates").alias("t"))
+    rows = rows.select("row", "doc_id", "grams", "before", "hits", *SPLITS, F.explode("templates").alias("t"))
     t = F.col("t")
     rows = _one(rows, "mine", F.filter("hits", lambda h: F.array_contains(t["grams"], h["gram"]))).drop("hits")
     rows = _one(rows, "at", F.col("mine.at"))
@@ -158,9 +203,9 @@ def runs(docs: DataFrame, table: list[Template], threshold: float) -> DataFrame:
     starts = F.filter(F.transform("mine", lambda h, k: F.when(
         ((k == 0) | (F.get(at, k - 1) < h["at"] - 1) | (h["gram"] == t["first"]))
         & (F.get(at, k + t["need"] - 1) <= h["at"] + t["words"] - 2), h["at"])), lambda p: p.isNotNull())
-    rows = rows.select("row", "doc_id", "grams", *SPLITS, "t", "at", F.explode(starts).alias("start"))
-    last = F.array_max(F.filter("at", lambda p: p <= F.col("start") + F.col("t.words") - 2))
-    rows = _one(rows, "end", last + 2).drop("at")
+    rows = rows.select("row", "doc_id", "grams", "before", *SPLITS, "t", "at", F.explode(starts).alias("start"))
+    rows = _one(rows, "run", _best_run()).drop("before", "at").where(F.col("run.dice") >= threshold - 1e-12)
+    rows = rows.withColumn("end", F.col("run.end"))
 
     def score(rows: DataFrame, start: Column, end: Column) -> DataFrame:
         """``found`` of the words from ``start`` to ``end``."""
@@ -168,8 +213,8 @@ def runs(docs: DataFrame, table: list[Template], threshold: float) -> DataFrame:
         shared = F.size(F.array_intersect("_grams", F.col("t.grams"))).cast("long")
         return _one(rows, "found", F.struct(
             shared.alias("shared"), (F.lit(2.0) * shared / (F.size("_grams") + F.col("t.size"))).alias("dice"))).drop("_grams")
-    rows = score(rows, F.col("start"), F.col("end")).where(F.col("found.dice") >= threshold - 1e-12)
-    rows = rows.withColumnRenamed("found", "run")
+    own = F.slice("grams", F.col("start") + 1, F.greatest(F.col("end") - F.col("start") - 1, F.lit(0)))
+    rows = rows.where(named(F.col("t.license"), own, RIVALS))
     rows = rows.withColumn("middle", F.floor((F.col("start") + F.col("end")) / 2).cast("int"))
     words = F.size("grams") + 1
     rows = score(rows, F.lit(0), words).where(F.col("found.dice") < threshold - 1e-12).drop("found")
@@ -186,7 +231,8 @@ def runs(docs: DataFrame, table: list[Template], threshold: float) -> DataFrame:
         inside = (o["start"] <= r["middle"]) & (r["middle"] < o["end"]) & (r["start"] <= o["middle"]) & (o["middle"] < r["end"])
         better = (o["dice"] > r["dice"]) | ((o["dice"] == r["dice"]) & (
             (o["shared"] > r["shared"]) | ((o["shared"] == r["shared"]) & (
-                (o["license"] < r["license"]) | ((o["license"] == r["license"]) & (o["start"] < r["start"]))))))
+                (o["license"] < r["license"]) | ((o["license"] == r["license"]) & (
+                    (o["start"] < r["start"]) | ((o["start"] == r["start"]) & (o["end"] < r["end"]))))))))
         return inside & better
     rows = rows.select("doc_id", F.explode(F.filter("all", lambda r: ~F.exists("all", lambda o: beaten(r, o)))).alias("r"))
     return rows.select("doc_id", F.lit("run").alias("scope"), F.col("r.start").cast("long").alias("unit"), "r.license",
@@ -207,7 +253,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, thres
     table = template_table(docs.sparkSession, TEMPLATES if templates is None else templates, threshold)
     least = min((len(t.grams) for t in table), default=0) * threshold / (2 - threshold)
     rows = units(docs).where((F.size("words") - 1 >= F.lit(least)) & (F.size("words") > 1))
-    rows = _one(rows, "grams", bigrams(F.col("words"))).drop("words")
+    rows = _one(rows, "grams", bigrams(F.col("words")))
     if not table:
         return rows.where("false").select("doc_id", "scope", "unit", F.lit("").alias("license"), F.lit(0).cast("long").alias(
             "shared"), F.lit(0.0).alias("dice"))
@@ -218,7 +264,11 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, thres
 
     def scored(t: Column, i: Column) -> Column:
         shared = F.size(F.array_intersect("grams", t["grams"])).cast("long")
-        return F.struct((F.lit(2.0) * shared / (F.size("grams") + t["size"])).alias("dice"), (-i).alias("order"),
+        dice = F.lit(2.0) * shared / (F.size("grams") + t["size"])
+        # Names are counted only where the template would be found.
+        real = F.when(t["license"].isin(list(RIVALS)) & (dice >= threshold - 1e-12),
+                      named(t["license"], sequence(F.col("words")), RIVALS)).otherwise(F.lit(True))
+        return F.struct(F.when(real, dice).otherwise(F.lit(0.0)).alias("dice"), (-i).alias("order"),
                         shared.alias("shared"), t["license"].alias("license"))
     rows = _one(rows, "_best", F.array_max(F.transform(fitting, scored))).where(
         F.col("_best.dice") >= threshold - 1e-12).select(
