@@ -45,6 +45,11 @@ def cohort_retention(facts: DataFrame, grain: str = "month", agents: DataFrame |
         .groupBy("cohort", _distance(F.col("cohort"), F.col("period"), grain).alias("k"))
         .agg(F.count("*").alias("active"))
     )
+    return retention(counts)
+
+
+def retention(counts: DataFrame) -> DataFrame:
+    """``cohort, k, active`` with the cohort's ``size``, the number active at ``k = 0``, and the share of it."""
     size = F.max(F.when(F.col("k") == 0, F.col("active"))).over(Window.partitionBy("cohort"))
     return counts.select("cohort", "k", size.alias("size"), "active").withColumn(
         "retention", F.col("active").cast("double") / F.col("size").cast("double"))

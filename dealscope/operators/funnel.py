@@ -45,6 +45,28 @@ def funnel_snapshot(marks: DataFrame, n_stages: int, period: str | None = None,
                          conversions=True)
 
 
+def unit_states(stage_days: DataFrame, period: str | None = None) -> DataFrame:
+    """``agent_id, period, mask, stage``: which stages a unit touched and how far it came in time order.
+
+    Takes the rows of :func:`stage_paths` with masks; ``period`` is null where units are agents.
+    """
+    start = _period_start(F.col("day"), period) if period else F.lit(None).cast("date")
+    reached = F.aggregate("steps", F.lit(0).cast("bigint"), lambda at, step: _digit(step, at))
+    return stage_days.groupBy("agent_id", start.alias("period")).agg(
+        F.bit_or("mask").cast("bigint").alias("mask"), _in_order(F.unix_date("day")).alias("steps")
+    ).select("agent_id", "period", "mask", reached.cast("bigint").alias("stage"))
+
+
+def counted_units(cells: DataFrame, n_stages: int, kind: str, dims: Sequence[str] = ()) -> DataFrame:
+    """A funnel from counted units (``dims, mask, stage, n``): ``kind`` is ``reached``, ``snapshot`` or ``ordered``."""
+    holds = {
+        "reached": lambda stage: F.col("mask").bitwiseAND(F.lit(1 << (stage - 1))) != 0,
+        "snapshot": lambda stage: F.col("mask") >= F.lit(1 << (stage - 1)),
+        "ordered": lambda stage: F.col("stage") >= stage,
+    }[kind]
+    return _stage_rows(cells, n_stages, holds, list(dims), F.col("n"), kind == "snapshot")
+
+
 def _period_start(day: Column, period: str) -> Column:
     return F.trunc(day, period)
 
@@ -67,7 +89,12 @@ def _count_stages(units: DataFrame, n_stages: int, holds: Callable[[int], Column
         units = attribute(units, agents)
         dims = ["agency_id", *dims]
     weight = F.col("n") if agents is not None else F.lit(1).cast("bigint")
+    return _stage_rows(units, n_stages, holds, dims, weight, conversions)
+
 
+def _stage_rows(units: DataFrame, n_stages: int, holds: Callable[[int], Column], dims: list[str], weight: Column,
+                conversions: bool) -> DataFrame:
+    """The units of each stage, one row a stage."""
     wide = units.groupBy(*dims).agg(*[
         F.coalesce(F.sum(F.when(holds(stage), weight)), F.lit(0)).cast("bigint").alias(f"s{stage}")
         for stage in range(1, n_stages + 1)

@@ -36,8 +36,13 @@ def rf_measures(facts: DataFrame, asof: date | None = None, agents: DataFrame |
 def rf_segment(facts: DataFrame, r_cuts: Sequence[int] = RECENCY_CUTS, f_cuts: Sequence[int] = FREQUENCY_CUTS,
                asof: date | None = None, agents: DataFrame | None = None) -> DataFrame:
     """Measures with their bins: ``id, recency_days, frequency, r_bin, f_bin``."""
+    return binned(rf_measures(facts, asof, agents), r_cuts, f_cuts)
+
+
+def binned(measures: DataFrame, r_cuts: Sequence[int] = RECENCY_CUTS, f_cuts: Sequence[int] = FREQUENCY_CUTS) -> DataFrame:
+    """``measures`` with ``r_bin`` and ``f_bin``."""
     recency, frequency = F.col("recency_days"), F.col("frequency")
-    return rf_measures(facts, asof, agents).select(
+    return measures.select(
         "*",
         _bin([recency <= cut for cut in r_cuts]).alias("r_bin"),
         _bin([frequency >= cut for cut in f_cuts]).alias("f_bin"),
@@ -52,14 +57,19 @@ def rf_matrix(facts: DataFrame, r_cuts: Sequence[int] = RECENCY_CUTS, f_cuts: Se
     """
     cells = rf_segment(facts, r_cuts, f_cuts, asof, agents).select(
         "r_bin", "f_bin", F.lit(1).cast("bigint").alias("n"))
+    return grid(cells, r_cuts, f_cuts)
+
+
+def grid(cells: DataFrame, r_cuts: Sequence[int] = RECENCY_CUTS, f_cuts: Sequence[int] = FREQUENCY_CUTS) -> DataFrame:
+    """Sums of ``n`` by cell, with zeros for the cells that ``cells`` lacks."""
     width = len(f_cuts) + 1
-    place = facts.sparkSession.range((len(r_cuts) + 1) * width, numPartitions=1)
-    grid = place.select(
+    place = cells.sparkSession.range((len(r_cuts) + 1) * width, numPartitions=1)
+    zeros = place.select(
         (F.floor(F.col("id") / width) + 1).cast("bigint").alias("r_bin"),
         (F.col("id") % width + 1).cast("bigint").alias("f_bin"),
         F.lit(0).cast("bigint").alias("n"),
     )
-    return cells.unionByName(grid).groupBy("r_bin", "f_bin").agg(F.sum("n").cast("bigint").alias("n"))
+    return cells.unionByName(zeros).groupBy("r_bin", "f_bin").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def rf_cuts(facts: DataFrame, quantiles: Sequence[float], asof: date | None = None,

@@ -14,6 +14,8 @@ from dealscope.schemas import Entity
 
 # What orders extracts in time: the batch, and within it when the file landed, in milliseconds.
 ARRIVAL = ("_batch_id", "_landed")
+#: Says of a row that the source no longer has its key.
+DELETED = "_deleted"
 RAW_COLUMNS = ("_source", "_batch_id", "_ingested_at")
 
 
@@ -97,20 +99,25 @@ def type_raw(raw: DataFrame, entity: Entity, names: Sequence[str] = (), phones:
     raw = raw.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else raw
     typed = cast_types(normalise(raw, names, phones), entity.schema, entity.key, codes)
     arrival = [F.col(c).try_cast("bigint").alias(c) for c in ARRIVAL if c in raw.columns]
-    return typed.select(*entity.schema.fieldNames(), *arrival, "_rejects")
+    deleted = [F.col(DELETED).try_cast("boolean").alias(DELETED)] if DELETED in raw.columns else []
+    return typed.select(*entity.schema.fieldNames(), *arrival, *deleted, "_rejects")
 
 
 def settle(typed: DataFrame, entity: Entity) -> DataFrame:
     """The staging table: rows with a key, the latest version of each.
 
     The entity's own version columns decide first, then the batch, then which
-    extract of the batch landed last.
+    extract of the batch landed last. A key whose latest version says that it was
+    deleted is not in the table.
     """
     order = [*entity.version, *[c for c in ARRIVAL if c in typed.columns]]
     rows = parsed_once(typed.drop("_rejects"))
     for key in entity.key:
         rows = rows.where(F.col(key).isNotNull())
-    return latest_by(rows, entity.key, order)
+    latest = latest_by(rows, entity.key, order)
+    if DELETED not in latest.columns:
+        return latest
+    return latest.where(~F.coalesce(DELETED, F.lit(False))).drop(DELETED)
 
 
 def parsed_once(rows: DataFrame) -> DataFrame:

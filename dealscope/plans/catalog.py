@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope import schemas
-from dealscope.operators import churn, cohort, facts, funnel, rating, rf, staging
+from dealscope.operators import churn, cohort, deletions, facts, funnel, rating, rf, staging, unit_bitmaps, validity
 from dealscope.operators.versions import incremental
 from dealscope.plans import views
 from dealscope.plans.views import RULES, STAGES
@@ -25,6 +25,9 @@ AGENT_DAYS = 180
 AGENCY_DAYS = 30
 TOP = 10
 QUANTILES = (0.25, 0.5, 0.75)
+TEN_DAYS = (date(2024, 1, 5), date(2024, 1, 14))
+#: Deals that a source has lost.
+LOST = "deal_id % 97 = 0 OR deal_id BETWEEN 5000 AND 6000"
 YEAR = (date(2000, 1, 1), date(2000, 12, 31))
 
 
@@ -175,6 +178,87 @@ def refreshed_rating_agency_moved(spark: SparkSession, sf_dir: str) -> DataFrame
     return warehouse.read_mart(spark, f"{root}/warehouse", "rating_agency")
 
 
+def rating_agency_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agencies by the deals that their agents made while they belonged to them."""
+    periods = validity.intervals(views.agency_versions(spark, sf_dir), "agent_id", "agency_id", "since")
+    return rating.rating_as_of(views.won_facts(spark, sf_dir), periods)
+
+
+def funnel_units_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct agents per stage over ten days, from stored daily bitmaps."""
+    path = shared_dir(spark, "unit-bitmaps")
+    unit_bitmaps.daily_bitmaps(views.stage_events(spark, sf_dir), STAGES).write.parquet(path)
+    return unit_bitmaps.distinct_units(spark.read.parquet(path), *TEN_DAYS)
+
+
+def funnel_units_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bitmaps = unit_bitmaps.daily_bitmaps(views.stage_events(spark, sf_dir), STAGES)
+    return unit_bitmaps.distinct_units(bitmaps, None, None, F.trunc("day", "month").alias("month"))
+
+
+def _kept(rows: DataFrame, name: str) -> DataFrame:
+    path = shared_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def deleted_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deals that are no longer in the source, which has lost every 97th and, for a while of keys, all of them."""
+    ours = views.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("deal_id"))
+    return deletions.deleted_keys(ours, ours.where(f"NOT ({LOST})"), "deal_id", _kept, leaf=64)
+
+
+def refreshed_without_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings of agents after a refresh with all deals and one with the deletions found then."""
+    root = shared_dir(spark, "refresh-deleted")
+    landing, source = {"deal": f"{root}/landing/deal"}, views.deal_versions(views.table(spark, sf_dir, "orders"))
+    for step in (lambda: refresh.land(source, "deal", landing["deal"]),
+                 lambda: refresh.land_deletions(spark, f"{root}/warehouse", "deal", source.where(f"NOT ({LOST})"), landing["deal"])):
+        step()
+        refresh.refresh(spark, refresh.feed_streams(spark, landing), f"{root}/warehouse", f"{root}/checkpoint",
+                        views.SETTINGS, feeds.AVAILABLE_NOW)
+    return warehouse.read_mart(spark, f"{root}/warehouse", "rating_agent")
+
+
+@cache
+def _patched_root(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse that was first told wrong agents, days, outcomes and agencies, and half of the events, then the rest
+    and what is right in two more cycles, so that its marts are the sums of what was patched."""
+    root = shared_dir(spark, "refresh-patched")
+    landing = {name: f"{root}/landing/{name}" for name in ("agent", "deal", "event")}
+    deals = views.deal_versions(views.table(spark, sf_dir, "orders"))
+    agents = views.stamped(views.agents(spark, sf_dir))
+    events = views.stage_events(spark, sf_dir)
+    wrong = deals.withColumns({
+        "agent_id": F.col("agent_id") + 1, "amount": F.lit(1).cast("decimal(18,2)"), "deal_ts": F.expr("deal_ts - INTERVAL 500 DAYS"),
+        "status": F.lit("F"), "updated_at": F.lit(views.STAMP).cast("timestamp_ntz") - F.expr("INTERVAL 9000 DAYS")})
+    elsewhere = agents.withColumns({"agency_id": F.when(F.col("agent_id") % 5 > 0, "elsewhere"),
+                                    "updated_at": F.lit("1999-01-01 00:00:00")})
+    even = F.col("deal_id") % 2 == 0
+    early = F.col("event_id") % 2 == 0
+    for parts in ({"deal": wrong, "agent": elsewhere, "event": events.where(early)},
+                  {"deal": deals.where(even), "event": events.where(~early)},
+                  {"deal": deals.where(~even), "agent": agents}):
+        for name, rows in parts.items():
+            refresh.land(rows, name, landing[name])
+        refresh.refresh(spark, refresh.feed_streams(spark, landing), f"{root}/warehouse", f"{root}/checkpoint",
+                        views.PATCHED, feeds.AVAILABLE_NOW)
+    return f"{root}/warehouse"
+
+
+def _patched(mart: str) -> Query:
+    """A mart whose states were patched by the differences of three cycles."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return warehouse.read_mart(spark, _patched_root(spark, sf_dir), mart)
+    return run
+
+
+#: Marts that a patched warehouse is asked for.
+PATCHED_MARTS = ("funnel_snapshot", "funnel_ordered", "funnel_by_agency", "funnel_by_period", "rating_agent", "rating_agency",
+                 "rating_agent_in_agency", "leaderboard_agency", "churn_agent", "churn_agency", "activity_status",
+                 "rf_segment", "rf_matrix", "cohort_size", "cohort_retention")
+
+
 def _refreshed(mart: str) -> Query:
     """A mart read back from the warehouse after the refresh."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,6 +327,12 @@ QUERIES: dict[str, Query] = {
     "refreshed_rf_segment": _refreshed("rf_segment"),
     "refreshed_cohort_size": _refreshed("cohort_size"),
     "refreshed_rating_agency_moved": refreshed_rating_agency_moved,
+    **{f"refreshed_patched_{mart}": _patched(mart) for mart in PATCHED_MARTS},
+    "refreshed_without_deleted": refreshed_without_deleted,
+    "deleted_deals": deleted_deals,
+    "rating_agency_as_of": rating_agency_as_of,
+    "funnel_units_in_range": funnel_units_in_range,
+    "funnel_units_by_month": funnel_units_by_month,
     "refreshed_company": _refreshed_staging(schemas.COMPANY),
     "refreshed_manager": _refreshed_staging(schemas.MANAGER),
     "refreshed_market": _refreshed_staging(schemas.MARKET),

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope.operators import churn, cohort, facts, funnel, rating, rf, staging
+from dealscope.plans import states
 from dealscope.schemas import ENTITIES, Entity
 from dealscope.sources import warehouse
-from dealscope.sources.warehouse import WHOLE, Tables
+from dealscope.sources.warehouse import Tables
 
 Codes = dict[str, dict[str, str]]
 
@@ -34,6 +35,8 @@ class Settings:
     block_ids: int = 10_000_000
     # Blocks of a table whose key is text.
     text_blocks: int = 64
+    # Ids per block of what is kept for each agent.
+    agent_block: int = 1_000_000
 
 
 JOBS_AT_ONCE = 4
@@ -91,7 +94,7 @@ def run_cycle(spark: SparkSession, root: str, source_batch: int, tagged: DataFra
     entities = load_raw(tagged, root, batch_id)
     advance(load_staging, entities)
     advance(load_condensed)
-    advance(load_marts)
+    advance(partial(_with_states, tables))
     warehouse.publish(spark, root, batch_id, changed, marks_of(spark, root, batch_id, entities),
                       (source, source_batch))
 
@@ -143,11 +146,12 @@ def merge_entity(spark: SparkSession, root: str, entity: Entity, batch_id: int,
     if before is not None:
         rows = rows.unionByName(before, allowMissingColumns=True)
     rows = staging.settle(rows, entity).withColumn("block", block)
-    # Ranges of the key, not of the block alone, so a crowded block is written
-    # by several tasks; the files then cover short key ranges.
-    rows = rows.repartitionByRange("block", *entity.key)
+    # Spark splits a crowded block over several tasks, without a pass to sample its keys.
+    rows = rows.hint("rebalance", "block")
     warehouse.write_snapshot(rows, root, table, batch_id, block="block")
-    return {table: {b: batch_id for b in touched}}
+    # A block whose rows were all deleted has no folder.
+    written = warehouse.written_blocks(spark, root, table, batch_id)
+    return {table: {**dict.fromkeys(touched, warehouse.EMPTY), **dict.fromkeys(written, batch_id)}}
 
 
 def rejected(spark: SparkSession, root: str, entity: Entity) -> DataFrame:
@@ -163,9 +167,11 @@ def load_condensed(spark: SparkSession, root: str, batch_id: int, changed: Table
     """
     def condense(source: str, table: str, to_facts: Callable[[DataFrame, Settings], DataFrame]) -> Tables:
         rows = warehouse.read_table(spark, root, source, list(changed[source]), now)
-        warehouse.write_snapshot(to_facts(rows, settings), root, table, batch_id, block="block")
         # A block without a single stage event has no folder; what it held before is gone.
         emptied = {b: warehouse.EMPTY for b in changed[source] if b in now.get(table, {})}
+        if rows is None:
+            return {table: emptied}
+        warehouse.write_snapshot(to_facts(rows, settings), root, table, batch_id, block="block")
         return {table: {**emptied, **{b: batch_id for b in warehouse.written_blocks(spark, root, table, batch_id)}}}
 
     plan = (("staging/deal", "fact/agent_day", _agent_day),
@@ -186,19 +192,13 @@ def _agent_stage_day(events: DataFrame, settings: Settings) -> DataFrame:
     return paths.withColumn("block", F.col("day").cast("string"))
 
 
-def load_marts(spark: SparkSession, root: str, batch_id: int, changed: Tables, now: Tables,
-               settings: Settings) -> Tables:
-    """Recompute the marts that depend on a changed table."""
-    loaded = {table: warehouse.read_table(spark, root, table, tables=now)
-              for table in ("fact/agent_day", "fact/agent_stage_day", "staging/agent")}
-
-    def write(name: str, needs: Sequence[str], build: Callable[..., DataFrame]) -> Tables:
-        warehouse.write_snapshot(build(*[loaded[table] for table in needs]), root, f"mart/{name}", batch_id)
-        return {f"mart/{name}": {WHOLE: batch_id}}
-
-    return _all_of(
-        (lambda job=(name, needs, build): write(*job)) for name, (needs, build) in marts(settings).items()
-        if any(table in changed for table in needs) and all(loaded[table] is not None for table in needs))
+def _with_states(before: Tables, spark: SparkSession, root: str, batch_id: int, changed: Tables, now: Tables,
+                 settings: Settings) -> Tables:
+    """Patch the states, then write the marts that depend on a changed one."""
+    patched = states.load_states(spark, root, batch_id, before, changed, now, settings)
+    now = {**now, **{t: {**now.get(t, {}), **blocks} for t, blocks in patched.items()}}
+    jobs = states.load_marts(spark, root, batch_id, before, {**changed, **patched}, now, settings)
+    return {**patched, **_all_of(jobs)}
 
 
 def _all_of(jobs: Iterable[Callable[[], Tables]]) -> Tables:
@@ -212,7 +212,7 @@ def _all_of(jobs: Iterable[Callable[[], Tables]]) -> Tables:
 
 
 def marts(s: Settings) -> dict[str, tuple[Sequence[str], Callable[..., DataFrame]]]:
-    """Each mart with the tables it is computed from."""
+    """Each mart as one operator over the condensed facts; a cycle gets the same rows from patched states."""
     days, stages, agents = "fact/agent_day", "fact/agent_stage_day", "staging/agent"
     n = len(s.stages)
     return {

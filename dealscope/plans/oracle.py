@@ -301,6 +301,40 @@ WITH {_EVENTS}
 SELECT CAST(ts AS DATE) AS day, CAST(stage_no AS BIGINT) AS stage_no, CAST(count(*) AS BIGINT) AS events
 FROM mark GROUP BY 1, 2"""
 
+_LOST = "(o_orderkey % 97 = 0 OR o_orderkey BETWEEN 5000 AND 6000)"
+
+_DELETED_DEALS = f"SELECT o_orderkey AS deal_id FROM orders WHERE {_LOST}"
+
+_WITHOUT_DELETED = _rating("agent_id").replace("FROM orders)", f"FROM orders WHERE NOT {_LOST})")
+
+_RATING_AS_OF = f"""
+WITH {_DEALS},
+moves AS (SELECT c_custkey AS agent_id, CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment AS own,
+                 CAST((c_nationkey + 1) % 25 AS VARCHAR) || '|' || c_mktsegment AS there,
+                 CAST(DATE '1996-01-01' + CAST(c_custkey * 37 % 1800 AS INTEGER) AS DATE) AS moved FROM customer),
+period AS (
+  SELECT agent_id, own AS agency_id, DATE '0001-01-01' AS a, moved AS b FROM moves
+  UNION ALL
+  SELECT agent_id, there, moved, CASE WHEN agent_id % 3 = 0 THEN CAST(moved + 400 AS DATE) ELSE DATE '9999-01-01' END FROM moves
+  UNION ALL
+  SELECT agent_id, own, CAST(moved + 400 AS DATE), DATE '9999-01-01' FROM moves WHERE agent_id % 3 = 0),
+total AS (
+  SELECT p.agency_id, count(*) AS deals, sum(amount) AS volume
+  FROM deal d LEFT JOIN period p ON d.agent_id = p.agent_id AND d.deal_date >= p.a AND d.deal_date < p.b
+  WHERE status = 'F' GROUP BY p.agency_id)
+SELECT agency_id, CAST(deals AS BIGINT) AS deals, CAST(volume AS DECIMAL(38,2)) AS volume,
+       CAST(rank() OVER (ORDER BY volume DESC) AS BIGINT) AS rnk
+FROM total"""
+
+
+def _units(days: str = "", month: bool = False) -> str:
+    pick = "CAST(date_trunc('month', ts) AS DATE) AS month," if month else ""
+    return f"""
+WITH {_EVENTS}
+SELECT {pick} CAST(stage_no AS BIGINT) AS stage_no, CAST(count(DISTINCT agent_id) AS BIGINT) AS units
+FROM mark {days} GROUP BY ALL"""
+
+
 ORACLE: dict[str, str] = {
     "funnel_reached": _reached(),
     "funnel_snapshot": _snapshot(),
@@ -362,7 +396,18 @@ ORACLE: dict[str, str] = {
     "refreshed_rf_segment": _rf("agent_id") + " SELECT * FROM segment",
     "refreshed_cohort_size": _COHORT_SIZE,
     "refreshed_rating_agency_moved": _rating("agency_id"),
+    "refreshed_without_deleted": _WITHOUT_DELETED,
+    "deleted_deals": _DELETED_DEALS,
+    "rating_agency_as_of": _RATING_AS_OF,
+    "funnel_units_in_range": _units("WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-14'"),
+    "funnel_units_by_month": _units(month=True),
     "refreshed_company": _STAGING_COMPANY,
     "refreshed_manager": _STAGING_MANAGER,
     "refreshed_market": _STAGING_MARKET,
 }
+
+#: A patched warehouse shows what one that was loaded at once does.
+ORACLE |= {f"refreshed_patched_{mart}": ORACLE[f"refreshed_{mart}"] for mart in (
+    "funnel_snapshot", "funnel_ordered", "funnel_by_agency", "funnel_by_period", "rating_agent", "rating_agency",
+    "rating_agent_in_agency", "leaderboard_agency", "churn_agent", "churn_agency", "activity_status", "rf_segment", "rf_matrix",
+    "cohort_size", "cohort_retention")}

@@ -6,6 +6,8 @@ gaps; see FIXTURES.md.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +68,20 @@ def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agents_of(table(spark, sf_dir, "customer"))
 
 
+def agency_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agents' agencies over time: some years in, on a day of their own, agents go to the next nation's agency; every
+    third one comes back 400 days later."""
+    rows = table(spark, sf_dir, "customer")
+    there = F.concat_ws("|", ((F.col("c_nationkey") + 1) % 25).cast("string"), "c_mktsegment")
+    moved = F.date_add(F.lit("1996-01-01").cast("date"), (F.col("c_custkey") * 37 % 1800).cast("int"))
+    own = _agency_id("c_nationkey", "c_mktsegment")
+    versions = F.array(
+        F.struct(own.alias("agency_id"), F.lit("1995-01-01").cast("date").alias("since")),
+        F.struct(there.alias("agency_id"), moved.alias("since")),
+        F.when(F.col("c_custkey") % 3 == 0, F.struct(own.alias("agency_id"), F.date_add(moved, 400).alias("since"))))
+    return rows.select(F.col("c_custkey").alias("agent_id"), F.inline(F.array_compact(versions)))
+
+
 def events_of(stored: DataFrame) -> DataFrame:
     return stored.select(
         "event_id",
@@ -236,3 +252,5 @@ RULES: dict[str, dict] = {
 }
 
 SETTINGS = Settings(stages=STAGES, won="won", codes={"deal": {"status": STATUS_CODES}})
+# Small blocks, so that the test tables fill several.
+PATCHED = replace(SETTINGS, block_ids=50_000, agent_block=2_000)

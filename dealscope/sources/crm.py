@@ -8,9 +8,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from dealscope.operators.deletions import Digests, digest_columns, range_filter
 from dealscope.operators.versions import incremental
 
 FETCH_ROWS = 10_000
+#: Key ranges that one query names.
+MOST_RANGES = 500
 
 
 @dataclass(frozen=True)
@@ -52,6 +55,26 @@ def read_crm(spark: SparkSession, source: CrmTable, since: datetime | None = Non
     return rows.select(*[F.col(stored).alias(name) for name, stored in source.columns.items()])
 
 
+def key_digests(spark: SparkSession, source: CrmTable) -> Digests:
+    """Digests of the table's keys, made by the database, for :func:`dealscope.operators.deletions.deleted_keys`.
+
+    Up to MOST_RANGES ranges are asked for by name; of more the query returns all, and what isn't asked for is dropped.
+    """
+    def digests(low: int, width: int, inside: DataFrame | None, outer: int) -> DataFrame:
+        wanted = None if inside is None else [r[0] for r in inside.select("bucket").limit(MOST_RANGES + 1).collect()]
+        if wanted is not None and len(wanted) > MOST_RANGES:
+            wanted = None
+        where = f"{source.key} >= {low}" if wanted is None else range_filter(source.key, low, outer, wanted)
+        columns = ", ".join(f"{what} AS {name}" for name, what in digest_columns(source.key, low, width).items())
+        query = f"SELECT {columns} FROM {source.table} WHERE {where} GROUP BY {digest_columns(source.key, low, width)['bucket']}"
+        rows = _reader(spark, source).option("query", query).load()
+        if inside is None:
+            return rows
+        return rows.join(inside.select(F.col("bucket").alias("_outer")),
+                         F.floor(F.col("bucket") * width / outer) == F.col("_outer"), "left_semi")
+    return digests
+
+
 def bounds_query(table: str, key: str, cursor: str | None, since: datetime | None) -> str:
     query = f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}"
     if cursor and since is not None:

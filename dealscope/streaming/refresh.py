@@ -13,8 +13,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealscope.operators.deletions import Digests, deleted_keys
+from dealscope.operators.staging import DELETED
 from dealscope.plans.layers import Settings, run_cycle, tag
 from dealscope.schemas import ENTITIES
+from dealscope.session import shared_dir
 from dealscope.sources import warehouse
 from dealscope.sources.crm import CrmTable, read_crm
 from dealscope.streaming.feeds import read_feed, text_schema
@@ -33,11 +36,33 @@ def land(rows: DataFrame, name: str, folder: str) -> None:
     spark, extract = rows.sparkSession, uuid.uuid4().hex
     columns = ENTITIES[name].schema.fieldNames()
     present = [F.col(c).cast("string").alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c)
-               for c in columns]
+               for c in [*columns, DELETED]]
     rows.select(*present).write.parquet(f"{folder}/_{extract}")
     warehouse.move(spark, f"{folder}/_{extract}", f"{folder}/{extract}")
 
 
+def land_deletions(spark: SparkSession, root: str, name: str, source_keys: DataFrame, folder: str,
+                   digests: Digests | None = None) -> None:
+    """Land, as deleted, the staged rows of an entity whose keys ``source_keys`` lacks.
+
+    ``source_keys`` has the entity's key, an integer, of every row that the source
+    still has; ``digests`` lets the source compare ranges of them itself. Run it when
+    all that was landed before is staged: a key that is only landed can't be missed.
+    Should the source take a key again, its next version brings the row back.
+    """
+    staged, key = warehouse.read_table(spark, root, f"staging/{name}"), ENTITIES[name].key[0]
+    if staged is None:
+        return
+    gone = deleted_keys(staged, source_keys, key, _kept, digests)
+    land(staged.join(gone, key, "left_semi").withColumn(DELETED, F.lit("true")), name, folder)
+
+
+def _kept(rows: DataFrame, name: str) -> DataFrame:
+    path = shared_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def pull_crm(spark: SparkSession, tables: dict[str, CrmTable], root: str, feeds: dict[str, str]) -> None:
     """Land what changed in the relational tables since the last visible cycle."""
     for name, table in tables.items():
@@ -54,7 +79,7 @@ def feed_streams(spark: SparkSession, feeds: dict[str, str], form: str = "parque
     for path in feeds.values():
         warehouse.make_folder(spark, path)
     return {
-        name: read_feed(spark, path, text_schema(ENTITIES[name].schema.fieldNames()), form=form,
+        name: read_feed(spark, path, text_schema([*ENTITIES[name].schema.fieldNames(), DELETED]), form=form,
                         max_files=max_files).select("*", landed)
         for name, path in feeds.items()
     }

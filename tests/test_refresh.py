@@ -107,7 +107,7 @@ def test_failed_cycle_shows_nothing_and_can_run_again(spark, tmp_path, monkeypat
     layers.run_cycle(spark, root, 0, tagged[0], SETTINGS)
     before = contents(spark, root)
     with monkeypatch.context() as broken:
-        broken.setattr(layers.cohort, "cohort_size", lambda *a: 1 / 0)
+        broken.setattr(layers.states.diff, "cohort_size", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             layers.run_cycle(spark, root, 1, tagged[1], SETTINGS)
     assert contents(spark, root) == before
