@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from dealscope.llm.tables import kept
 
 #: Characters of text whose documents share one table of units and pairs; a longer text is a chunk alone.
-CHUNK_CHARS = 1 << 24
+CHUNK_CHARS = 1 << 23
 #: Characters of units in one call of the tokenizers, and units of documents that are looked up at once.
 CALL_CHARS, LOOKUP_UNITS = 1 << 18, 1 << 20
 #: Where a unit may start. Python's white space holds all that a tokenizer's pattern calls so.
@@ -298,7 +298,7 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 #: and how often, and the units of the documents.
 _CHUNKS = ("chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
            "n_links array<long>, digest array<string>, pair array<long>, pair_docs array<int>, link_unit array<int>, "
-           "link_pair array<int>, link_times array<long>, unit array<int>, unit_end array<long>")
+           "link_pair array<int>, link_times array<int>, unit array<int>, unit_end array<int>")
 
 
 def _chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -384,7 +384,7 @@ def document_alignment(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         sums = []
         for of_pair in (best, n):
             of_unit = np.zeros(max(count, int(part["link_unit"].max(initial=-1)) + 1), np.int64)
-            np.add.at(of_unit, part["link_unit"], part["link_times"] * of_pair[part["link_pair"]])
+            np.add.at(of_unit, part["link_unit"], part["link_times"].astype(np.int64) * of_pair[part["link_pair"]])
             running = np.concatenate([[0], np.cumsum(of_unit[part["unit"]])])
             sums.append(np.diff(running[np.concatenate([[0], part["unit_end"]])]))
         return pa.table([row["doc_id"].flatten(), part["n_a"], part["n_b"], part["n_groups"], part["n_links"], *sums,
