@@ -35,14 +35,18 @@ from dealscope.sources.warehouse import EMPTY, WHOLE, Tables
 NO_KEY = "none"
 _DAY = f"deal_date date, deals bigint, won_deals bigint, volume {VOLUME}"
 _TOTAL = f"first date, latest date, frequency bigint, deals bigint, volume {VOLUME}"
-#: Columns of the states, for when all their blocks are empty.
+#: Columns of the states.
 SCHEMAS = {
+    "cells/days": "deal_date date, n bigint", "cells/units": "period date, mask bigint, stage bigint, n bigint",
+    "cells/agent_gap": "day date, next_day date, n bigint", "cells/agency_gap": "day date, next_day date, n bigint",
+    "cells/agent_rf": "latest date, frequency bigint, n bigint", "cells/agent_cohort": "cohort date, k bigint, n bigint",
     "state/agent_day": f"agent_id bigint, {_DAY}", "state/agency_day": f"agency_id string, {_DAY}",
     "state/agent_total": f"agent_id bigint, {_TOTAL}", "state/agency_total": f"agency_id string, {_TOTAL}",
     "state/agent_units": "agent_id bigint, mask bigint, stage bigint, n bigint",
     "state/agency_units": "agency_id string, mask bigint, stage bigint, n bigint",
-    "staging/agent": "agent_id bigint, agency_id string",
 }
+#: Of a staging table only what attribution reads.
+STAGED = {"staging/agent": "agent_id bigint, agency_id string"}
 
 
 def agent_block(ids: int) -> Column:
@@ -63,16 +67,16 @@ class Cycle:
         self.passing: list[str] = []
 
     def old(self, table: str, blocks: Sequence[str] | None = None) -> DataFrame | None:
-        return warehouse.read_table(self.spark, self.root, table, blocks, self.before)
+        return warehouse.read_table(self.spark, self.root, table, blocks, self.before, {**SCHEMAS, **STAGED}.get(table))
 
     def new(self, table: str, blocks: Sequence[str] | None = None) -> DataFrame | None:
-        return warehouse.read_table(self.spark, self.root, table, blocks, self._tables())
+        return warehouse.read_table(self.spark, self.root, table, blocks, self._tables(), {**SCHEMAS, **STAGED}.get(table))
 
     def all_of(self, table: str) -> DataFrame | None:
         """A state, without rows if all its blocks are empty; None if there is none yet."""
-        rows = self.new(table)
-        if rows is None and table in self._tables() and table in SCHEMAS:
-            return self.spark.createDataFrame([], SCHEMAS[table])
+        rows, schema = self.new(table), {**SCHEMAS, **STAGED}.get(table)
+        if rows is None and table in self._tables() and schema:
+            return self.spark.createDataFrame([], schema)
         return rows
 
     def _tables(self) -> Tables:
@@ -82,7 +86,7 @@ class Cycle:
         """Differences of this cycle, written once for their several readers."""
         warehouse.write_snapshot(rows, self.root, table, self.batch_id)
         self.passing.append(f"{self.root}/{table}/batch_id={self.batch_id}")
-        return warehouse.read_batch(self.spark, self.root, table, self.batch_id)
+        return self.spark.read.schema(rows.schema).parquet(self.passing[-1])
 
     def keep(self, rows: DataFrame, table: str, block: Column, touched: Sequence[str]) -> None:
         """Rewrite the touched blocks of a state."""

@@ -111,11 +111,11 @@ def _record_names(spark: SparkSession, root: str) -> list[str]:
 
 
 def read_table(spark: SparkSession, root: str, table: str, blocks: list[str] | None = None,
-               tables: Tables | None = None) -> DataFrame | None:
+               tables: Tables | None = None, schema: str | None = None) -> DataFrame | None:
     """The visible rows of a table, or of some of its blocks; None if there are none.
 
     Readers that need several tables of one moment pass the ``tables`` of one
-    :func:`committed` call.
+    :func:`committed` call. A known ``schema`` spares a look into the files.
     """
     if tables is None:
         tables = committed(spark, root)[1]
@@ -126,7 +126,8 @@ def read_table(spark: SparkSession, root: str, table: str, blocks: list[str] | N
         return None
     folders = [_folder(root, table, n) if b == WHOLE else f"{_folder(root, table, n)}/block={b}"
                for b, n in sorted(wanted.items())]
-    return spark.read.parquet(*folders)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(*folders)
 
 
 def read_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame:
