@@ -294,11 +294,26 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, groups string")
 
 
-#: Of a chunk: its documents' figures, its distinct pairs with the documents that hold them, which pairs a unit has
-#: and how often, and the units of the documents.
-_CHUNKS = ("chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
-           "n_links array<long>, digest array<string>, pair array<long>, pair_docs array<int>, link_unit array<int>, "
-           "link_pair array<int>, link_times array<int>, unit array<int>, unit_end array<int>")
+#: Of a chunk: its documents, its distinct pairs with how many documents hold each, and as packed numbers the documents'
+#: figures and units, and per unit its pairs and how often it has them.
+_CHUNKS = ("chunk long, doc_id array<long>, digest array<string>, pair array<long>, pair_docs array<int>, "
+           "size long, packed binary")
+
+
+def _packed(arrays: list[np.ndarray]) -> tuple[int, bytes]:
+    """Arrays of numbers in few bytes: the first bytes of all numbers, then the second ones, compressed."""
+    raw = np.array([len(a) for a in arrays], np.int64).tobytes()
+    raw += b"".join(np.ascontiguousarray(a, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays)
+    return len(raw), pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(size: int, packed: bytes, count: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(packed, size, "zstd", asbytes=True), np.uint8)
+    lengths, at, out = raw[:8 * count].view(np.int64), 8 * count, []
+    for n in lengths.tolist():
+        out.append(np.ascontiguousarray(raw[at:at + 8 * n].reshape(8, n).T).view(np.int64).ravel())
+        at += 8 * n
+    return out
 
 
 def _chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -312,16 +327,17 @@ def _chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             figures = [np.array([int(f[c].sum()) for c in codes], np.int64)
                        for f in (links.n_a, links.n_b, links.n_groups, n_links)]
             digest = [hashlib.sha256(_groups_text(c, links.text).encode()).hexdigest() if len(c) else "" for c in codes]
-            columns = [[(TaskContext.get().partitionId() << 32) + number], [[i for i, _ in chunk.docs]], *[[f] for f in figures],
-                       [digest], [pairs], [_holders(codes, links.unit, place, len(pairs))], [links.unit], [place],
-                       [links.times], [np.concatenate(codes)], [np.cumsum([len(c) for c in codes])]]
+            size, packed = _packed([*figures, np.array([len(c) for c in codes]), np.concatenate(codes),
+                                    np.bincount(links.unit, minlength=len(links.n_a)), place, links.times])
+            columns = [[(TaskContext.get().partitionId() << 32) + number], [[i for i, _ in chunk.docs]], [digest], [pairs],
+                       [_holders(codes, links.unit, place, len(pairs))], [size], [packed]]
             # Nothing of this chunk stays while the next one is made.
-            del chunk, links, codes, place, pairs
+            del chunk, links, codes, place, pairs, packed
             row = pa.RecordBatch.from_arrays([pa.array(columns.pop(0), f.type) for f in schema], schema=schema)
             yield row
             del row
 
-    types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
     fields = [f.split(" ") for f in _CHUNKS.split(", ")]
     schema = pa.schema([(n, pa.list_(types[t[6:-1]]) if t.startswith("array") else types[t]) for n, t in fields])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, _CHUNKS)
@@ -370,25 +386,21 @@ def document_alignment(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     places = chunks.select("chunk", F.posexplode("pair").alias("place", "pair"))
     counts = places.join(pair_counts(chunks), "pair").select(
         F.col("chunk").alias("home"), "place", "n", "best")
-    own = chunks.select("chunk", "doc_id", "n_a", "n_b", "n_groups", "n_links", "digest", "link_unit", "link_pair",
-                        "link_times", "unit", "unit_end")
+    own = chunks.select("chunk", "doc_id", "digest", "size", "packed")
 
     def rows(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.combine_chunks().to_batches()[0]
-        row = dict(zip(left.column_names, row.columns))
-        part = {c: np.asarray(v.flatten()) for c, v in row.items() if c not in ("chunk", "doc_id", "digest")}
-        n, best = np.zeros(right.num_rows, np.int64), np.zeros(right.num_rows, np.int64)
-        place = right.column("place").to_numpy()
-        n[place], best[place] = right.column("n").to_numpy(), right.column("best").to_numpy()
-        count = int(part["unit"].max(initial=-1)) + 1
+        row = dict(zip(left.column_names, left.combine_chunks().to_batches()[0].columns))
+        *figures, n_units, units, n_pairs, pair, times = _unpacked(row["size"][0].as_py(), row["packed"][0].as_py(), 9)
+        place, of_unit = right.column("place").to_numpy(), np.repeat(np.arange(len(n_pairs)), n_pairs)
         sums = []
-        for of_pair in (best, n):
-            of_unit = np.zeros(max(count, int(part["link_unit"].max(initial=-1)) + 1), np.int64)
-            np.add.at(of_unit, part["link_unit"], part["link_times"].astype(np.int64) * of_pair[part["link_pair"]])
-            running = np.concatenate([[0], np.cumsum(of_unit[part["unit"]])])
-            sums.append(np.diff(running[np.concatenate([[0], part["unit_end"]])]))
-        return pa.table([row["doc_id"].flatten(), part["n_a"], part["n_b"], part["n_groups"], part["n_links"], *sums,
-                         row["digest"].flatten()], names=names)
+        for name in ("best", "n"):
+            of_pair = np.zeros(right.num_rows, np.int64)
+            of_pair[place] = right.column(name).to_numpy()
+            total = np.zeros(len(n_pairs), np.int64)
+            np.add.at(total, of_unit, times * of_pair[pair])
+            running = np.concatenate([[0], np.cumsum(total[units])])
+            sums.append(np.diff(running[np.concatenate([[0], np.cumsum(n_units)])]))
+        return pa.table([row["doc_id"].flatten(), *figures, *sums, row["digest"].flatten()], names=names)
 
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     return own.groupBy("chunk").cogroup(counts.groupBy("home")).applyInArrow(
