@@ -1,6 +1,7 @@
 """Marts from patched states are what their operators make of all facts."""
 
 import random
+from decimal import Decimal
 from datetime import datetime, timedelta
 
 import pytest
@@ -112,7 +113,7 @@ def test_rates_from_gaps_at_any_reference_date(spark):
 
     from dealscope.operators import churn, differences
     dice = random.Random(1)
-    rows = [(dice.choice([None, *range(20)]), date(2024, 1, 1) + timedelta(days=dice.randrange(120)), 1, 1, 1) for _ in range(300)]
+    rows = [(dice.choice([None, *range(20)]), date(2024, 1, 1) + timedelta(days=dice.randrange(120)), 1, 1, Decimal(1)) for _ in range(300)]
     facts_ = spark.createDataFrame(rows, "agent_id long, deal_date date, deals long, won_deals long, volume decimal(38,2)")
     days = facts_.groupBy("agent_id", "deal_date").count().withColumn("w", differences.F.lit(1))
     gaps = differences.cell_changes(differences.gap_cells(days, "agent_id", "w"), ["day", "next_day"])
