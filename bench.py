@@ -12,6 +12,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -43,6 +44,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='dealscope-bench-')}",
     })
     spark.sparkContext.setLogLevel("ERROR")
 

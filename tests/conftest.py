@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,6 +20,7 @@ def spark():
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='dealscope-tests-')}",
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session
