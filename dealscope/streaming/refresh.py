@@ -36,7 +36,7 @@ def land(rows: DataFrame, name: str, folder: str) -> None:
     spark, extract = rows.sparkSession, uuid.uuid4().hex
     columns = ENTITIES[name].schema.fieldNames()
     present = [F.col(c).cast("string").alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c)
-               for c in [*columns, DELETED]]
+               for c in [*columns, *([DELETED] if DELETED in rows.columns else [])]]
     rows.select(*present).write.parquet(f"{folder}/_{extract}")
     warehouse.move(spark, f"{folder}/_{extract}", f"{folder}/{extract}")
 
