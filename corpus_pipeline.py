@@ -21,7 +21,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows that repeat an id with other texts those that differ."""
     ship(spark)
     groups = ngram_join.near_duplicates(docs, length=5, percent=80)
-    later = groups.where("component_id < doc_id").select("doc_id").distinct()
+    # Written first, as Spark then knows how few they are and need not shuffle all texts to leave them out.
+    later = kept(groups.where("component_id < doc_id").select("doc_id").distinct(), "later")
     return once(docs.join(later, "doc_id", "left_anti").select(*docs.columns))
 
 

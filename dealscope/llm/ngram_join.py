@@ -39,8 +39,9 @@ MEETING_COST = 8.0
 BLOCK = 4096
 #: Sets that a task remembers so as to index equal ones once.
 COPIES = 50_000
-#: Pairs that an entry may first propose for two components, and the growth of that from round to round.
-FIRST_PAIRS, MORE_PAIRS = 4, 16
+#: Pairs that an entry may first propose for two components, and the growth of that from round to round: the first few
+#: connect nearly all that can be, so those still apart are mostly to be searched to the end.
+FIRST_PAIRS, MORE_PAIRS = 4, 1024
 
 
 class Plan(NamedTuple):
@@ -255,33 +256,44 @@ def _near(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
 
     sized = pairs.join(side("x"), "x").join(side("p"), "p").where(
         F.col("x_n") * 100 >= F.col("p_n") * percent).where(F.col("p_n") * 100 >= F.col("x_n") * percent)
-    return sized.select("x", "p", "x_n", "p_n", "x_bits", "p_bits").mapInArrow(rows, "x long, p long").distinct()
+    return sized.select("x", "p", "x_n", "p_n", "x_bits", "p_bits").mapInArrow(rows, "x long, p long")
 
 
 class _Verifier:
-    """Exact checks of pairs. Sets are made once for each document that comes up."""
+    """Exact checks of pairs, each once. Sets are made once for each document that comes up."""
 
     def __init__(self, docs: DataFrame, length: int, percent: int):
         self.docs = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
         self.length, self.percent = length, percent
         self.known: DataFrame | None = None
+        self.checked: DataFrame | None = None
 
     def similar(self, pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("p")).distinct()
-        if self.known is not None:
-            ids = ids.join(self.known, "doc_id", "left_anti")
-        if self.known is None or not ids.isEmpty():
-            made = kept(shingle_arrays(self.docs.join(ids, "doc_id", "left_semi"), self.length), "shingles")
+        """Those of the pairs that are similar and have not been asked for before."""
+        if self.checked is not None:
+            pairs = pairs.join(self.checked, ["x", "p"], "left_anti")
+        pairs = kept(pairs.select("x", "p").distinct(), "asked")
+        self.checked = pairs if self.checked is None else self.checked.unionByName(pairs)
+        if pairs.isEmpty():
+            return pairs
+        # Written first, as Spark then knows how few they are and need not shuffle all texts to meet them.
+        ids = kept(pairs.select(F.col("x").alias("doc_id")).union(pairs.select("p")).distinct(), "ids")
+        new = ids if self.known is None else kept(ids.join(self.known, "doc_id", "left_anti"), "new")
+        if not new.isEmpty():
+            made = kept(shingle_arrays(self.docs.join(new, "doc_id", "left_semi"), self.length), "shingles")
             self.known = made if self.known is None else self.known.unionByName(made)
-        side = {c: self.known.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("x", "p")}
+        sets = self.known.join(ids, "doc_id", "left_semi")
+        side = {c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("x", "p")}
         both = F.size(F.array_intersect("x_set", "p_set"))
         either = F.size("x_set") + F.size("p_set") - both
-        return pairs.join(side["x"], "x").join(side["p"], "p").where(both * 100 >= either * self.percent).select("x", "p")
+        fit = pairs.join(side["x"], "x").join(side["p"], "p").where(both * 100 >= either * self.percent)
+        # Of rows that repeat an id with other texts several may be similar.
+        return kept(fit.select("x", "p").distinct(), "similar")
 
 
 @settled
-def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> DataFrame:
-    """``x, p``: edges between different documents that connect just those that similar pairs connect.
+def classes(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> DataFrame:
+    """``node, component``: the smallest document that links reach, of each document that has any.
 
     Equal sets hang from the smallest document of their class. Of the others the
     first document of each index entry is compared with all that share the entry,
@@ -289,12 +301,13 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
     whose documents are then in several components are searched for close pairs
     across them, block by block and by parity bits, inside the tasks; the pairs that
     come up are checked exactly. Of two components a few pairs come up at first, and
-    more in further rounds as long as any were held back and the two are still apart.
+    more in further rounds as long as any were held back and the two are still apart:
+    those rounds read the documents of such components only.
     """
     known = prints.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = known.groupBy("key_a", "key_b", "n_shingles").agg(F.min("doc_id").alias("p"))
+    equal = known.groupBy("key_a", "key_b", "n_shingles").agg(F.min("doc_id").alias("p"))
     copies = kept(known.select("doc_id", "key_a", "key_b", "n_shingles")
-                  .join(classes, ["key_a", "key_b", "n_shingles"]).select(F.col("doc_id").alias("x"), "p"), "classes")
+                  .join(equal, ["key_a", "key_b", "n_shingles"]).select(F.col("doc_id").alias("x"), "p"), "classes")
     heads = copies.select(F.col("p").alias("doc_id")).distinct()
     together = Window.partitionBy("sig")
     entries = index_rows(docs, length, percent).select(
@@ -308,36 +321,41 @@ def linked(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Dat
 
     # Documents that are no heads have no prints here and fall out in the join.
     pairs = entries.where("doc_id <> pivot").select(F.col("doc_id").alias("x"), F.col("pivot").alias("p")).distinct()
-    pairs = kept(_near(pairs, prints, percent), "pairs")
-    edges = copies.where("x <> p")
-    if not pairs.isEmpty():
-        edges = kept(edges.union(verifier.similar(pairs)), "edges")
+    edges = copies.where("x <> p").unionByName(verifier.similar(_near(pairs, prints, percent)))
+    labels = components(edges, "x", "p")
     # Entries with the same documents are one from here on; those of two documents are settled.
     entries = kept(entries.where("many > 2").select("entry", "doc_id").distinct(), "groups")
+    entries = entries.join(heads, "doc_id", "left_semi")
     limit = FIRST_PAIRS
     while True:
-        found = _close(entries, heads, edges, prints, percent, limit)
-        pairs = found.select("x", "p").distinct()
-        if not pairs.isEmpty():
-            edges = kept(edges.union(verifier.similar(pairs)), "edges")
-        if found.where("more").isEmpty():
-            return edges
-        # An entry that held nothing back has had all its close pairs checked.
-        entries = entries.join(found.where("more").select("entry").distinct(), "entry", "left_semi")
+        rows = _unsettled(entries, labels)
+        found = _close(rows, prints, percent, limit)
+        more = verifier.similar(found.select("x", "p"))
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            labels = components(edges, "x", "p")
+        back = found.where("more")
+        if back.isEmpty():
+            return labels
+        # Two components of an entry that held nothing back have had all their close pairs checked.
+        back = back.select("entry", F.explode(F.array("x_in", "p_in")).alias("component")).distinct()
+        entries = rows.join(back, ["entry", "component"], "left_semi").select("entry", "doc_id")
         limit *= MORE_PAIRS
 
 
-def _unsettled(entries: DataFrame, heads: DataFrame, edges: DataFrame) -> DataFrame:
-    """``entry, doc_id, component, place, last``: the heads of entries with three or more, in several components."""
-    labels = components(edges, "x", "p").select(F.col("node").alias("doc_id"), "component")
-    state = heads.join(labels, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
-    rows = kept(entries.join(state, "doc_id"), "labelled")
+def _unsettled(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """``entry, doc_id, component, block, large``: the heads of entries with three or more, in several components."""
+    state = labels.select(F.col("node").alias("doc_id"), "component")
+    rows = kept(entries.join(state, "doc_id", "left").select(
+        "entry", "doc_id", F.coalesce("component", "doc_id").alias("component")), "labelled")
     groups = rows.groupBy("entry").agg(
         F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("last")
     ).where("a < b AND last > 2").select("entry", "last")
     # Documents of one component stand together, so that many blocks have no other.
     order = Window.partitionBy("entry").orderBy("component", "doc_id")
-    return rows.join(groups, "entry").withColumn("place", F.row_number().over(order) - 1)
+    block = F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int")
+    return kept(rows.join(groups, "entry").select(
+        "entry", "doc_id", "component", block.alias("block"), (F.col("last") > BLOCK).alias("large")), "unsettled")
 
 
 def _block_pairs(rows: DataFrame) -> DataFrame:
@@ -351,11 +369,9 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
 
 
 @settled
-def _close(entries: DataFrame, heads: DataFrame, edges: DataFrame, prints: DataFrame, percent: int,
-           limit: int) -> DataFrame:
-    """``entry, x, p, more``: what ``close_pairs`` finds in each entry, by pairs of blocks of BLOCK documents."""
-    rows = _unsettled(entries, heads, edges).withColumn("block", F.floor(F.col("place") / BLOCK).cast("int"))
-    rows = kept(rows.select("entry", "doc_id", "component", "block", (F.col("last") > BLOCK).alias("large")), "unsettled")
+def _close(rows: DataFrame, prints: DataFrame, percent: int, limit: int) -> DataFrame:
+    """``entry, x, p, x_in, p_in, more``: what ``close_pairs`` finds in each entry, by pairs of blocks of BLOCK documents,
+    and the components of both."""
     large = rows.where("large")
     spread = rows.where("NOT large").select("entry", "doc_id", "component", "block", F.lit(0).alias("i"), F.lit(0).alias("j"))
     if not large.isEmpty():
@@ -375,10 +391,11 @@ def _close(entries: DataFrame, heads: DataFrame, edges: DataFrame, prints: DataF
                 x, p, more = close_pairs(sizes[a:b], bits.slice(a, b - a).to_pylist(), component[a:b], block[a:b],
                                          percent, limit)
                 if len(x):
-                    x, p = ids[a:b][x], ids[a:b][p]
+                    x, p = np.where(ids[a:b][x] > ids[a:b][p], (x, p), (p, x))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), entry[a])), pa.array(np.maximum(x, p)), pa.array(np.minimum(x, p)),
-                         pa.array(more)], ["entry", "x", "p", "more"])
+                        [pa.array(np.full(len(x), entry[a])), pa.array(ids[a:b][x]), pa.array(ids[a:b][p]),
+                         pa.array(component[a:b][x]), pa.array(component[a:b][p]), pa.array(more)],
+                        ["entry", "x", "p", "x_in", "p_in", "more"])
 
         # The last group of a batch may go on in the next one: it waits.
         for batch in batches:
@@ -394,7 +411,7 @@ def _close(entries: DataFrame, heads: DataFrame, edges: DataFrame, prints: DataF
         for batch in held:
             yield from pairs(batch)
 
-    return rows.mapInArrow(search, "entry long, x long, p long, more boolean")
+    return rows.mapInArrow(search, "entry long, x long, p long, x_in long, p_in long, more boolean")
 
 
 @settled
@@ -412,7 +429,7 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     if not 0 < percent <= 100:
         raise ValueError("percent must lie in 1 to 100")
     prints = kept(fingerprints(docs, length), "prints")
-    labels = components(linked(docs, prints, length, percent), "x", "p")
+    labels = classes(docs, prints, length, percent)
     sizes = prints.select("doc_id", "n_shingles")
     return sizes.join(labels, sizes.doc_id == labels.node, "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
