@@ -39,9 +39,12 @@ MEETING_COST = 8.0
 BLOCK = 4096
 #: Sets that a task remembers so as to index equal ones once.
 COPIES = 50_000
-#: Pairs that an entry may first propose for two components, and the growth of that from round to round: the first few
-#: connect nearly all that can be, so those still apart are mostly to be searched to the end.
-FIRST_PAIRS, MORE_PAIRS = 4, 1024
+#: Shingles of a group of documents that are compared with each other in one go; a document counts as a few hundred more.
+SHINGLES = 1 << 21
+#: Pairs that a component of an entry may propose: they connect nearly all that can be.
+FIRST_PAIRS = 2
+#: Close pairs that a task holds before it leaves out all but those.
+HELD_PAIRS = 1 << 18
 
 
 class Plan(NamedTuple):
@@ -147,39 +150,105 @@ def differing_bits(left: bytes, right: bytes) -> int:
     return int(np.bitwise_count(folded(left, size) ^ folded(right, size)).sum())
 
 
-def close_pairs(sizes: np.ndarray, bits: list[bytes], components: np.ndarray, blocks: np.ndarray, percent: int,
-                limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of places that may be similar, of different components and, if there are two, of different blocks.
+def candidates(sizes: np.ndarray, bits: list[bytes], components: np.ndarray, blocks: np.ndarray, percent: int,
+               groups: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """A place, earlier places that may be similar to it, and their differing bits.
 
-    Of each two components the ``limit`` pairs with the fewest differing bits; the
-    third array tells whether that left any out.
+    Pairs are of different components, of different groups and, if there are two,
+    of different blocks. The caller may unite components or groups as it goes.
     """
     size = min(len(b) for b in bits) // 8
     table = np.stack([folded(b, size) for b in bits])
     two = blocks.min() != blocks.max()
-    found = []
     for a in range(1, len(sizes)):
         fits = (components[:a] != components[a]) & (sizes[:a] * 100 >= sizes[a] * percent) & (
             sizes[a] * 100 >= sizes[:a] * percent)
         if two:
             fits &= blocks[:a] != blocks[a]
+        if groups is not None:
+            fits &= groups[:a] != groups[a]
         b = np.flatnonzero(fits)
         differing = np.bitwise_count(table[b] ^ table[a]).sum(axis=1, dtype=np.int64)
         near = differing * (100 + percent) <= (sizes[b] + sizes[a]) * (100 - percent)
         if near.any():
-            found.append(np.stack([np.full(near.sum(), a), b[near], differing[near]]))
-    if not found:
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(bool)
-    a, b, differing = np.concatenate(found, axis=1)
-    low, high = np.minimum(components[a], components[b]), np.maximum(components[a], components[b])
-    order = np.lexsort((differing, high, low))
-    new = np.concatenate([[True], (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)])
-    first = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    count = np.diff(np.append(first, len(order)))
-    chosen = np.arange(len(order)) - first[group] < limit
-    return a[order][chosen], b[order][chosen], (count[group] > limit)[chosen]
+            yield a, b[near], differing[near]
+
+
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """The place of each element among the equal ones before it."""
+    order = np.argsort(keys, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.arange(len(keys)) - np.repeat(first, np.diff(np.append(first, len(keys))))
+    return out
+
+
+def _unite(groups: np.ndarray, a: int, others: np.ndarray) -> None:
+    names = np.append(groups[others], groups[a])
+    groups[np.isin(groups, names)] = names.min()
+
+
+def close_pairs(sizes: np.ndarray, bits: list[bytes], components: np.ndarray, blocks: np.ndarray, percent: int,
+                limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the ``limit`` candidates of each component with the fewest differing bits.
+
+    The third array tells of which pairs a component has more. A pair left out is
+    of two such components.
+    """
+    names = np.unique(components, return_inverse=True)[1]
+    count = np.zeros(len(components), np.int64)
+    found, new, held = np.zeros((3, 0), np.int64), [], 0
+
+    def closest() -> np.ndarray:
+        pairs = np.concatenate([found, *new], axis=1)
+        pairs = pairs[:, np.argsort(pairs[2], kind="stable")]
+        rank = _ranks(np.stack([names[pairs[0]], names[pairs[1]]], axis=1).ravel()).reshape(-1, 2)
+        return pairs[:, rank.min(axis=1) < limit]
+
+    for a, b, differing in candidates(sizes, bits, components, blocks, percent):
+        count[names[a]] += len(b)
+        count += np.bincount(names[b], minlength=len(count))
+        new.append(np.stack([np.full(len(b), a), b, differing]))
+        held += len(b)
+        if held > HELD_PAIRS:
+            found, new, held = closest(), [], 0
+    if new:
+        found = closest()
+    a, b, _ = found
+    return a, b, np.maximum(count[names[a]], count[names[b]]) > limit
+
+
+def tied_places(sizes: np.ndarray, bits: list[bytes], components: np.ndarray, blocks: np.ndarray,
+                percent: int) -> np.ndarray:
+    """For each place the first one that a chain of candidates leads to, or itself."""
+    groups = np.arange(len(sizes))
+    for a, b, _ in candidates(sizes, bits, components, blocks, percent, groups):
+        _unite(groups, a, b)
+    return groups
+
+
+def joining_pairs(sets: list[np.ndarray], components: np.ndarray, blocks: np.ndarray,
+                  percent: int) -> list[tuple[int, int]]:
+    """Places of similar pairs that join those components that all similar pairs join, fewer than there are places."""
+    sizes = np.array([len(s) for s in sets])
+    groups = np.unique(components, return_inverse=True)[1]
+    out = []
+    for a, b, differing in candidates(sizes, [parity(s) for s in sets], groups, blocks, percent):
+        b = b[np.argsort(differing, kind="stable")]
+        # Of each group the closest first: one that is similar settles the others.
+        take = 1
+        while len(b):
+            now = _ranks(groups[b]) < take
+            asked, b, take = b[now], b[~now], take * 8
+            values = np.concatenate([sets[i] for i in asked])
+            at = np.minimum(np.searchsorted(sets[a], values), sizes[a] - 1)
+            both = np.add.reduceat(sets[a][at] == values, np.cumsum(sizes[asked]) - sizes[asked], dtype=np.int64)
+            fit = asked[both * 100 >= (sizes[a] + sizes[asked] - both) * percent]
+            if len(fit):
+                out += [(a, int(i)) for i in fit[_ranks(groups[fit]) == 0]]
+                _unite(groups, a, fit)
+                b = b[groups[b] != groups[a]]
+    return out
 
 
 def _sets(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -270,19 +339,15 @@ class _Verifier:
 
     def similar(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs that are similar and have not been asked for before."""
+        # Entries propose the same pairs: each counts once before it is looked up.
+        pairs = pairs.select("x", "p").distinct()
         if self.checked is not None:
             pairs = pairs.join(self.checked, ["x", "p"], "left_anti")
-        pairs = kept(pairs.select("x", "p").distinct(), "asked")
+        pairs = kept(pairs, "asked")
         self.checked = pairs if self.checked is None else self.checked.unionByName(pairs)
         if pairs.isEmpty():
             return pairs
-        # Written first, as Spark then knows how few they are and need not shuffle all texts to meet them.
-        ids = kept(pairs.select(F.col("x").alias("doc_id")).union(pairs.select("p")).distinct(), "ids")
-        new = ids if self.known is None else kept(ids.join(self.known, "doc_id", "left_anti"), "new")
-        if not new.isEmpty():
-            made = kept(shingle_arrays(self.docs.join(new, "doc_id", "left_semi"), self.length), "shingles")
-            self.known = made if self.known is None else self.known.unionByName(made)
-        sets = self.known.join(ids, "doc_id", "left_semi")
+        sets = self.sets(pairs.select(F.col("x").alias("doc_id")).union(pairs.select("p")))
         side = {c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("x", "p")}
         both = F.size(F.array_intersect("x_set", "p_set"))
         either = F.size("x_set") + F.size("p_set") - both
@@ -290,6 +355,16 @@ class _Verifier:
         # Of rows that repeat an id with other texts several may be similar.
         return kept(fit.select("x", "p").distinct(), "similar")
 
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """``doc_id, shingles`` of these documents."""
+        # Written first, as Spark then knows how few they are and need not shuffle all texts to meet them.
+        ids = kept(ids.distinct(), "ids")
+        new = ids if self.known is None else kept(ids.join(self.known, "doc_id", "left_anti"), "new")
+        if not new.isEmpty():
+            made = kept(shingle_arrays(self.docs.join(new, "doc_id", "left_semi"), self.length), "shingles")
+            self.known = made if self.known is None else self.known.unionByName(made)
+        return self.known.join(ids, "doc_id", "left_semi")
+
 
 @settled
 def classes(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> DataFrame:
@@ -299,10 +374,11 @@ def classes(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Da
     first document of each index entry is compared with all that share the entry,
     which connects most groups of near copies at a row per copy and entry. Entries
     whose documents are then in several components are searched for close pairs
-    across them, block by block and by parity bits, inside the tasks; the pairs that
-    come up are checked exactly. Of two components a few pairs come up at first, and
-    more in further rounds as long as any were held back and the two are still apart:
-    those rounds read the documents of such components only.
+    across them, block by block and by parity bits, inside the tasks. Each component
+    proposes its few closest pairs, which are checked exactly. Where that left any
+    out, the documents of close pairs that are still apart are put into groups, as far
+    as such pairs reach, and a second search compares the sets within each group,
+    inside the tasks too. No step has a row for each pair of a group's documents.
     """
     known = prints.where("doc_id IS NOT NULL AND n_shingles > 0")
     equal = known.groupBy("key_a", "key_b", "n_shingles").agg(F.min("doc_id").alias("p"))
@@ -326,28 +402,36 @@ def classes(docs: DataFrame, prints: DataFrame, length: int, percent: int) -> Da
     # Entries with the same documents are one from here on; those of two documents are settled.
     entries = kept(entries.where("many > 2").select("entry", "doc_id").distinct(), "groups")
     entries = entries.join(heads, "doc_id", "left_semi")
-    limit = FIRST_PAIRS
-    while True:
-        rows = _unsettled(entries, labels)
-        found = _close(rows, prints, percent, limit)
-        more = verifier.similar(found.select("x", "p"))
-        if not more.isEmpty():
-            edges = edges.unionByName(more)
-            labels = components(edges, "x", "p")
-        back = found.where("more")
-        if back.isEmpty():
-            return labels
-        # Two components of an entry that held nothing back have had all their close pairs checked.
-        back = back.select("entry", F.explode(F.array("x_in", "p_in")).alias("component")).distinct()
-        entries = rows.join(back, ["entry", "component"], "left_semi").select("entry", "doc_id")
-        limit *= MORE_PAIRS
+    rows = _unsettled(entries, labels)
+    found = _close(rows, prints, percent, FIRST_PAIRS)
+    more = verifier.similar(found.select("x", "p"))
+    if not more.isEmpty():
+        edges = edges.unionByName(more)
+        labels = components(edges, "x", "p")
+    back = found.where("more")
+    if back.isEmpty():
+        return labels
+    # A pair of documents that was left out is of two components that have more.
+    back = back.select("entry", F.explode(F.array("x_in", "p_in")).alias("component")).distinct()
+    entries = rows.join(back, ["entry", "component"], "left_semi").select("entry", "doc_id")
+    tied = _close(_unsettled(entries, labels), prints, percent, None).select("x", "p").distinct()
+    if tied.isEmpty():
+        return labels
+    groups = components(tied, "x", "p").select(F.col("node").alias("doc_id"), F.col("component").alias("entry"))
+    more = _joining(groups, labels, verifier.sets(groups.select("doc_id")), percent)
+    return labels if more.isEmpty() else components(edges.unionByName(more), "x", "p")
+
+
+def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """``entry, doc_id, component``."""
+    state = labels.select(F.col("node").alias("doc_id"), "component")
+    return entries.join(state, "doc_id", "left").select(
+        "entry", "doc_id", F.coalesce("component", "doc_id").alias("component"))
 
 
 def _unsettled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """``entry, doc_id, component, block, large``: the heads of entries with three or more, in several components."""
-    state = labels.select(F.col("node").alias("doc_id"), "component")
-    rows = kept(entries.join(state, "doc_id", "left").select(
-        "entry", "doc_id", F.coalesce("component", "doc_id").alias("component")), "labelled")
+    rows = kept(_labelled(entries, labels), "labelled")
     groups = rows.groupBy("entry").agg(
         F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("last")
     ).where("a < b AND last > 2").select("entry", "last")
@@ -368,10 +452,28 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
     return pairs.select("entry", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the same ``entry, i, j``, the first columns, which stand together."""
+    held: list[pa.RecordBatch] = []
+    # The last run of a batch may go on in the next one: it waits.
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
+        entry, i, j = (np.asarray(table.column(c)) for c in range(3))
+        new = (np.diff(entry) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
+        bounds = [0, *(np.flatnonzero(new) + 1).tolist()]
+        for a, b in zip(bounds, bounds[1:]):
+            yield table.slice(a, b - a)
+        held = [table.slice(bounds[-1])]
+    yield from held
+
+
 @settled
-def _close(rows: DataFrame, prints: DataFrame, percent: int, limit: int) -> DataFrame:
+def _close(rows: DataFrame, prints: DataFrame, percent: int, limit: int | None) -> DataFrame:
     """``entry, x, p, x_in, p_in, more``: what ``close_pairs`` finds in each entry, by pairs of blocks of BLOCK documents,
-    and the components of both."""
+    and the components of both. Without limit each document ``x`` that has any close pair stands once with the first
+    one ``p`` that those lead to."""
     large = rows.where("large")
     spread = rows.where("NOT large").select("entry", "doc_id", "component", "block", F.lit(0).alias("i"), F.lit(0).alias("j"))
     if not large.isEmpty():
@@ -380,40 +482,51 @@ def _close(rows: DataFrame, prints: DataFrame, percent: int, limit: int) -> Data
     rows = rows.repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j", "doc_id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            entry, i, j, block, ids, component, sizes = (np.asarray(batch.column(c)) for c in range(7))
-            bits = batch.column(7)
-            new = (np.diff(entry) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
-            bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(entry)]
-            for a, b in zip(bounds, bounds[1:]):
-                x, p, more = close_pairs(sizes[a:b], bits.slice(a, b - a).to_pylist(), component[a:b], block[a:b],
-                                         percent, limit)
-                if len(x):
-                    x, p = np.where(ids[a:b][x] > ids[a:b][p], (x, p), (p, x))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), entry[a])), pa.array(ids[a:b][x]), pa.array(ids[a:b][p]),
-                         pa.array(component[a:b][x]), pa.array(component[a:b][p]), pa.array(more)],
-                        ["entry", "x", "p", "x_in", "p_in", "more"])
-
-        # The last group of a batch may go on in the next one: it waits.
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
-            entry, i, j = (np.asarray(table.column(c)) for c in range(3))
-            same = (entry == entry[-1]) & (i == i[-1]) & (j == j[-1])
-            start = int(np.argmax(same))
-            if start:
-                yield from pairs(table.slice(0, start))
-            held = [table.slice(start)]
-        for batch in held:
-            yield from pairs(batch)
+        for run in _runs(batches):
+            entry, _, _, block, ids, component, sizes = (np.asarray(run.column(c)) for c in range(7))
+            bits = run.column(7).to_pylist()
+            if limit is None:
+                p = tied_places(sizes, bits, component, block, percent)
+                x = np.flatnonzero(p != np.arange(len(p)))
+                p, more = p[x], np.zeros(len(x), bool)
+            else:
+                x, p, more = close_pairs(sizes, bits, component, block, percent, limit)
+            if len(x):
+                x, p = np.where(ids[x] > ids[p], (x, p), (p, x))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(entry[x]), pa.array(ids[x]), pa.array(ids[p]), pa.array(component[x]),
+                     pa.array(component[p]), pa.array(more)], ["entry", "x", "p", "x_in", "p_in", "more"])
 
     return rows.mapInArrow(search, "entry long, x long, p long, x_in long, p_in long, more boolean")
 
 
+@settled
+def _joining(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``x, p``: what ``joining_pairs`` finds in each group of ``entry, doc_id``, by pairs of blocks of SHINGLES shingles."""
+    sets = kept(sets.where(F.size("shingles") > 0).distinct(), "sets")
+    sizes = sets.groupBy("doc_id").agg(F.sum(F.size("shingles") + max(1, SHINGLES // BLOCK)).alias("size"))
+    so_far = Window.partitionBy("entry").orderBy("component", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    block = F.floor(F.sum("size").over(so_far) / SHINGLES).cast("int")
+    rows = kept(_labelled(groups, labels).join(sizes, "doc_id").select("entry", "doc_id", "component", block.alias("block")),
+                "grouped")
+    rows = rows.join(_block_pairs(rows), ["entry", "block"]).join(sets, "doc_id").select(
+        "entry", "i", "j", "block", "doc_id", "component", "shingles")
+    rows = rows.repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j", "doc_id")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches):
+            block, ids, component = (np.asarray(run.column(c)) for c in (3, 4, 5))
+            ends = np.cumsum(np.asarray(run.column(6).value_lengths()))
+            values = np.asarray(run.column(6).flatten()).view(np.uint64)
+            found = joining_pairs(np.split(values, ends[:-1]), component, block, percent)
+            if found:
+                x, p = ids[np.array(found)].T
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.maximum(x, p)), pa.array(np.minimum(x, p))], ["x", "p"])
+
+    return rows.mapInArrow(search, "x long, p long").distinct()
+
+
 @settled
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs`` (``doc_id``, ``text``).
