@@ -185,10 +185,9 @@ def rating_agency_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def funnel_units_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct agents per stage over ten days, from stored daily bitmaps."""
-    path = shared_dir(spark, "unit-bitmaps")
-    unit_bitmaps.daily_bitmaps(views.stage_events(spark, sf_dir), STAGES).write.parquet(path)
-    return unit_bitmaps.distinct_units(spark.read.parquet(path), *TEN_DAYS)
+    """Distinct agents per stage over ten days, from daily bitmaps."""
+    bitmaps = unit_bitmaps.daily_bitmaps(views.stage_events(spark, sf_dir), STAGES)
+    return unit_bitmaps.distinct_units(bitmaps, *TEN_DAYS)
 
 
 def funnel_units_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
